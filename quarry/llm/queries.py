@@ -5,23 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.license_scan import scan_licenses
 from quarry.llm.line_dedup import dedup_lines
+from quarry.llm.mixing import mix
+from quarry.llm.packing import pack
 from quarry.llm.quality import quality_verdicts
+from quarry.llm.sharding import document_shards
+from quarry.llm.sst import token_shards
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_shards(documents(spark, sf_dir))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(documents(spark, sf_dir))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer_path())
+
+
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards(spark, documents(spark, sf_dir), tokenizer_path())
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
