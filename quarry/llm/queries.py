@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.llm.license_scan import scan_licenses
 from quarry.llm.line_dedup import dedup_lines
 from quarry.llm.mixing import mix
+from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_verdicts
 from quarry.llm.sharding import document_shards
@@ -45,6 +46,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(documents(spark, sf_dir))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "kept")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_path())
 
