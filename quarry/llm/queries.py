@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.lattice import near_vectors
 from quarry.llm.license_scan import scan_licenses
 from quarry.llm.line_dedup import dedup_lines
 from quarry.llm.mixing import mix
 from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_verdicts
+from quarry.llm.secret_scan import scan_secrets
 from quarry.llm.sharding import document_shards
 from quarry.llm.sst import token_shards
 
@@ -54,6 +56,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(documents(spark, sf_dir))
+
+
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards(spark, documents(spark, sf_dir), tokenizer_path())
 
