@@ -259,8 +259,8 @@ def definitions(t: DriverTables) -> tuple[DataFrame, DataFrame]:
 
 @query(f"""with {_DEFS}, w as (select conv_id, turn, list_distinct([lower(x) for x in regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_ऀ-ॿ]{{5,}}')]) as dw,
     [lower(x) for x in regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_ऀ-ॿ]{{5,}}')] as aw from conversations),
-    o as (select conv_id, turn, x as word, list_position(aw, x) as at from w, unnest(dw) as u(x)),
-    n as (select *, row_number() over (partition by conv_id, turn order by at) - 1 as pos from o)
+    o as (select conv_id, turn, x as word, list_position(aw, x) as place from w, unnest(dw) as u(x)),
+    n as (select *, row_number() over (partition by conv_id, turn order by place) - 1 as pos from o)
     select conv_id, turn, pos, word, stem, usage from n join us using (word) where pos < 30""")
 def definition_lookup(t):
     return C.definition_lookup(t.raw("conversations"), ["conv_id", "turn"], "text", *definitions(t))

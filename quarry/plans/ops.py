@@ -1,2 +1,361 @@
+"""Queries over merges, tasks, keys, logs and parsing, bound to the driver's tables, and their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quarry.functions import parsing
+from quarry.functions import text as T
+from quarry.operators import merge as M
+from quarry.operators import tasks as K
+from quarry.sources.catalog import DriverTables
+
 Q: dict = {}
-SQL: dict = {}
+SQL: dict[str, str] = {}
+#: The present time of all queries, as seconds.
+NOW = 883612800.0
+
+
+def query(sql: str | None = None):
+    def put(f):
+        Q[f.__name__] = lambda spark, sf_dir: f(DriverTables(spark, sf_dir))
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+_TASKS = f"""tk as (select o_orderkey as id, 'job' || o_orderkey % 3 as job_type, case o_orderstatus when 'P' then 'pending' when 'O' then 'running' else case when o_orderkey % 2 = 0 then 'done' else 'failed' end end as status,
+    cast(substr(o_orderpriority, 1, 1) as integer) as priority, o_custkey as api_key_id, epoch(o_orderdate) as created_at, epoch(o_orderdate) as started_at,
+    case when o_orderkey % 3 = 0 then epoch(o_orderdate) + 60 * (o_orderkey % 50) end as heartbeat_at, case when o_orderkey % 4 = 0 then epoch(o_orderdate) + 1000 * (o_orderkey % 100000) end as run_after,
+    cast(o_orderkey % 3 as integer) as max_retries, 1800 as retry_delay, case when o_orderkey % 5 < 2 then 'HTTP 503 Service Unavailable' when o_orderkey % 5 = 2 then 'Quota exceeded' else 'bad value' end as error_msg from orders),
+    now as (select {NOW} as t)"""
+
+
+def tasks(t: DriverTables) -> DataFrame:
+    k = F.col("o_orderkey")
+    at = F.col("o_orderdate").cast("timestamp").cast("double")
+    done = F.when(k % 2 == 0, "done").otherwise("failed")
+    return t.raw("orders").select(
+        k.alias("id"),
+        F.concat(F.lit("job"), k % 3).alias("job_type"),
+        F.when(F.col("o_orderstatus") == "P", "pending").when(F.col("o_orderstatus") == "O", "running").otherwise(done).alias("status"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        F.col("o_custkey").alias("api_key_id"),
+        at.alias("created_at"),
+        at.alias("started_at"),
+        F.when(k % 3 == 0, at + 60 * (k % 50)).alias("heartbeat_at"),
+        F.when(k % 4 == 0, at + 1000 * (k % 100000)).alias("run_after"),
+        (k % 3).cast("int").alias("max_retries"),
+        F.lit(1800).alias("retry_delay"),
+        F.when(k % 5 < 2, "HTTP 503 Service Unavailable").when(k % 5 == 2, "Quota exceeded").otherwise("bad value").alias("error_msg"),
+    )
+
+
+_KEYS = f"""ky as (select c_custkey as id, c_mktsegment as provider, c_name as alias, cast(c_custkey % 7 > 0 as integer) as is_active,
+    case when c_custkey % 3 = 0 then {NOW} - c_custkey * 37 % 8000 end as exhausted_at, cast(abs(c_acctbal) as bigint) % 500 as total_calls from customer)"""
+
+
+def keys(t: DriverTables) -> DataFrame:
+    k = F.col("c_custkey")
+    return t.raw("customer").select(
+        k.alias("id"),
+        F.col("c_mktsegment").alias("provider"),
+        F.col("c_name").alias("alias"),
+        (k % 7 > 0).cast("int").alias("is_active"),
+        F.when(k % 3 == 0, NOW - k * 37 % 8000).cast("double").alias("exhausted_at"),
+        (F.round(F.abs("c_acctbal")).cast("long") % 500).alias("total_calls"),
+    )
+
+
+def events(t: DriverTables) -> DataFrame:
+    return t.raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query(f"with {_TASKS} select id, priority, created_at from tk, now where status = 'pending' and (run_after is null or run_after <= t) order by priority, created_at, id limit 1")
+def next_task(t):
+    return K.next_task(tasks(t), NOW).select("id", "priority", "created_at")
+
+
+@query(f"with {_KEYS} select id, total_calls from ky where provider = 'BUILDING' and is_active = 1 and exhausted_at is null order by total_calls, id limit 1")
+def next_key(t):
+    return K.next_key(keys(t), "BUILDING").select("id", "total_calls")
+
+
+@query(f"with {_KEYS} select id, exhausted_at from ky where exhausted_at < {NOW} - 3600")
+def restored_keys(t):
+    return K.restored_keys(keys(t), NOW).select("id", "exhausted_at")
+
+
+@query(f"with {_KEYS} select id, cast(greatest(0, ceil((exhausted_at + 3600 - {NOW}) / 60)) as bigint) as minutes_left from ky where exhausted_at is not null")
+def cooldown_left(t):
+    return K.cooldown_left(keys(t), NOW).select("id", "minutes_left")
+
+
+@query(f"with {_KEYS} select provider, id, alias, is_active from ky order by provider, id")
+def keys_listing(t):
+    return keys(t).select("provider", "id", "alias", "is_active").orderBy("provider", "id")
+
+
+@query(f"with {_TASKS} select id, status, created_at from tk order by created_at desc, id desc limit 50")
+def recent_tasks(t):
+    return K.recent(tasks(t), 50).select("id", "status", "created_at")
+
+
+@query(f"with {_TASKS} select status, count(*) as n from (select * from tk order by created_at desc, id desc limit 50) group by 1")
+def task_status_counts(t):
+    return K.status_counts(tasks(t))
+
+
+@query(f"with {_TASKS}, {_KEYS} select tk.id, status, alias from tk left join ky on api_key_id = ky.id and ky.id % 2 = 0")
+def task_with_key(t):
+    k = keys(t).filter("id % 2 = 0").select(F.col("id").alias("key_id"), "alias")
+    return tasks(t).join(k, F.col("api_key_id") == F.col("key_id"), "left").select("id", "status", "alias")
+
+
+@query(f"with {_TASKS} select id, coalesce(heartbeat_at, started_at) as last_seen from tk where status = 'running' and coalesce(heartbeat_at, started_at) < {NOW} - 300")
+def stale_tasks(t):
+    return K.stale(tasks(t), NOW).select("id", F.coalesce("heartbeat_at", "started_at").alias("last_seen"))
+
+
+@query(f"with {_TASKS} select id as of_id, job_type, 'pending' as status, priority, max_retries - 1 as max_retries, retry_delay, {NOW} + retry_delay as run_after from tk where status = 'failed' and max_retries > 0 and error_msg <> 'bad value'")
+def reschedule(t):
+    return K.reschedule(tasks(t).withColumn("retryable", T.error_class(F.col("error_msg"))["retryable"]), NOW)
+
+
+@query("select k, cast(60 * power(2, k) as bigint) as exponential, 5 * k as linear, least(120, 30 * (k + 1)) as capped from (select distinct p_size % 8 as k from part) order by k".replace("select k,", "select cast(k as bigint) as k,").replace("5 * k", "cast(5 * k as bigint)").replace("least(120, 30 * (k + 1))", "cast(least(120, 30 * (k + 1)) as bigint)"))
+def backoff_schedule(t):
+    k = t.raw("part").select((F.col("p_size") % 8).cast("long").alias("k")).distinct()
+    return k.select("k", *(v.alias(n) for n, v in K.backoff(F.col("k")).items()))
+
+
+_D = "(heartbeat_at - started_at)"
+_AGO = f"({NOW} - started_at)"
+
+
+@query(f"""with {_TASKS} select id, strftime(make_timestamp(cast(started_at as bigint) * 1000000), '%Y-%m-%d %H:%M:%S') as started,
+    coalesce(case when {_D} < 60 then printf('%.1f', {_D}) || 's' else cast(floor({_D} / 60 + 0.5) as bigint) || 'm ' || cast(floor({_D} % 60 + 0.5) as bigint) || 's' end, '—') as took,
+    case when {_AGO} < 60 then cast(floor({_AGO} + 0.5) as bigint) || 's ago' when {_AGO} < 3600 then cast(floor({_AGO} / 60 + 0.5) as bigint) || 'm ago' when {_AGO} < 86400 then cast(floor({_AGO} / 3600 + 0.5) as bigint) || 'h ago' else cast(floor({_AGO} / 86400 + 0.5) as bigint) || 'd ago' end as ago from tk""")
+def task_durations(t):
+    d = K.durations(F.col("started_at"), F.col("heartbeat_at"), NOW)
+    started = F.date_format(F.timestamp_seconds("started_at"), "yyyy-MM-dd HH:mm:ss").alias("started")
+    return tasks(t).select("id", started, *(v.alias(n) for n, v in d.items()))
+
+
+@query(f"with {_TASKS} select id, case when status in ('pending', 'running') then 'cancelled' else status end as status, 'cancel' as action from tk where id % 2 = 0 union all select id, 'pending', 'retry' from tk where status in ('failed', 'done') and id % 3 = 0")
+def task_transitions(t):
+    k = tasks(t)
+    cancel = k.filter("id % 2 = 0").select("id", K.cancelled(F.col("status")).alias("status"), F.lit("cancel").alias("action"))
+    again = K.retried(k.filter("status in ('failed', 'done') and id % 3 = 0"))
+    return cancel.unionByName(again.select(F.col("of_id").alias("id"), "status", F.lit("retry").alias("action")))
+
+
+_STATES = "case event_type when 'purchase' then 'done' when 'error' then 'failed' when 'logout' then 'cancelled' else 'running' end"
+
+
+@query(f"with e as (select user_id, event_id, ts, {_STATES} as state from events), r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from e) select user_id as task_id, state, case when state in ('done', 'failed', 'cancelled') then cast(epoch_us(ts) as bigint) end as finished_at from r where n = 1")
+def task_state(t):
+    state = F.when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "logout", "cancelled").otherwise("running")
+    e = events(t).select(F.col("user_id").alias("task_id"), "event_id", F.unix_micros("ts").alias("ts"), state.alias("state"))
+    return K.current_state(e)
+
+
+@query(f"with {_TASKS}, gone as (select id from tk where id % 10 = 0 and status in ('done', 'failed', 'cancelled')), lg as (select event_id, user_id as task_id from events) select 'task' as kind, count(*) as n from tk where id not in (select id from gone) union all select 'log', count(*) from lg where task_id not in (select id from gone)")
+def cascade_delete(t):
+    k = tasks(t)
+    logs = t.raw("events").select("event_id", F.col("user_id").alias("task_id"))
+    left, entries = M.cascade_delete(k, logs, k.filter("id % 10 = 0").select("id"))
+    count = lambda df, kind: df.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
+    return count(left, "task").unionByName(count(entries, "log"))
+
+
+@query("select user_id as key_id, count(*) as total_calls, count(*) filter (where event_type = 'error') as total_errors from events group by 1")
+def key_counters(t):
+    return K.key_counters(t.raw("events").select(F.col("user_id").alias("key_id"), (F.col("event_type") == "error").alias("is_error")))
+
+
+@query("select event_id, user_id, (row_number() over (partition by user_id order by event_id) - 1) % 3 as slot from events")
+def round_robin(t):
+    return K.round_robin(t.raw("events").select("event_id", "user_id"), "event_id", 3, "user_id")
+
+
+@query(f"with {_TASKS} select distinct error_msg, error_msg <> 'bad value' as retryable, error_msg = 'Quota exceeded' as rate_limit, case error_msg when 'Quota exceeded' then 'quota' when 'bad value' then 'other' else 'server' end as kind from tk")
+def error_class(t):
+    return tasks(t).select("error_msg").distinct().select("error_msg", *(v.alias(n) for n, v in T.error_class(F.col("error_msg")).items()))
+
+
+@query("select key, coalesce(value, 'none') as value from (values ('1'), ('no such key')) k(key) left join (select cast(user_id as varchar) as u, max_by(event_type, event_id) as value from events group by 1) s on key = u")
+def settings_lookup(t):
+    table = settings(t)
+    wanted = t.spark.createDataFrame([("1",), ("no such key",)], "key string")
+    return wanted.join(table, "key", "left").select("key", F.coalesce("value", F.lit("none")).alias("value"))
+
+
+def settings(t: DriverTables) -> DataFrame:
+    rows = t.raw("events").select(F.col("user_id").cast("string").alias("key"), F.col("event_type").alias("value"), "event_id")
+    return M.last_write(rows, ["key"], "value", "event_id")
+
+
+@query("select cast(user_id as varchar) as key, max_by(event_type, event_id) as value from events group by 1")
+def settings_merge(t):
+    return settings(t)
+
+
+@query("select user_id, event_id, event_type from events where user_id = 7 and event_id > 100 order by event_id")
+def log_tail(t):
+    logs = t.raw("events").select(F.col("event_id").alias("id"), F.col("user_id").alias("task_id"), "event_type")
+    return K.log_tail(logs, 7, 100).select(F.col("task_id").alias("user_id"), F.col("id").alias("event_id"), "event_type")
+
+
+_GAPS = "g as (select event_id, (epoch_us(ts) - epoch_us(lag(ts) over (order by ts, event_id))) / 1e6 as gap_s from events)"
+
+
+@query(f"with {_GAPS} select event_id, round(gap_s, 3) as gap_s from g where gap_s > 300")
+def silent_gaps(t):
+    return gaps(t).filter("gap_s > 300").select("event_id", F.round("gap_s", 3).alias("gap_s"))
+
+
+@query(f"with {_GAPS} select event_id, round(gap_s, 3) as gap_s from g where gap_s < 4")
+def throttle_check(t):
+    return gaps(t).filter("gap_s < 4").select("event_id", F.round("gap_s", 3).alias("gap_s"))
+
+
+def gaps(t: DriverTables) -> DataFrame:
+    return K.gaps(events(t).select("event_id", "ts"), "ts", "event_id")
+
+
+@query("select user_id as key_id, cast(ts as date) as day, count(*) as used, greatest(0, 1500 - count(*)) as remaining, count(*) >= 1500 as exhausted from events group by 1, 2")
+def quota_status(t):
+    return K.quota(events(t).select(F.col("user_id").alias("key_id"), F.to_date("ts").alias("day")))
+
+
+# --- merges ---
+
+
+@query("select user_id, max_by(event_type, event_id) as value from events group by 1")
+def merge_checkpoints(t):
+    return M.last_write(t.raw("events").select("user_id", "event_id", F.col("event_type").alias("value")), ["user_id"], "value", "event_id")
+
+
+@query("select c_custkey from customer where c_custkey not in (select user_id from events)")
+def remaining_headings(t):
+    return M.remaining(t.raw("customer").select("c_custkey"), t.raw("events").select(F.col("user_id").alias("c_custkey")), ["c_custkey"])
+
+
+_MAP = "m as (select case when event_id % 11 = 0 then 'x' || event_id when event_id % 7 = 0 then '-' || event_id else cast(event_id as varchar) end as para, case when event_id % 5 = 0 then null else cast(user_id as varchar) end as sc_id from events)"
+
+
+def mapping(t: DriverTables) -> DataFrame:
+    e = F.col("event_id")
+    para = F.when(e % 11 == 0, F.concat(F.lit("x"), e)).when(e % 7 == 0, F.concat(F.lit("-"), e)).otherwise(e.cast("string"))
+    return t.raw("events").select(para.alias("para"), F.when(e % 5 != 0, F.col("user_id").cast("string")).alias("sc_id"))
+
+
+@query(f"with {_MAP} select para, case when sc_id in (select cast(c_custkey as varchar) from customer where c_custkey % 2 = 0) then sc_id end as sc_id from m where regexp_matches(para, '^-*[0-9]+$')")
+def validate_mapping(t):
+    valid = t.raw("customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("sc_id"))
+    return M.validate_mapping(mapping(t), valid, "para", "sc_id").select("para", "sc_id")
+
+
+@query("""with u as (select user_id as p_partkey, max_by(event_type, event_id) as v from events where event_type <> 'click' group by 1)
+    select p_partkey, coalesce(u.v, p_name) as p_name, u.v is not null as updated from part left join u using (p_partkey)""")
+def apply_mapping(t):
+    updates = t.raw("events").filter("event_type <> 'click'").select(F.col("user_id").alias("p_partkey"), F.col("event_type").alias("p_name"), F.col("event_id").alias("seq"))
+    return M.apply_updates(t.raw("part").select("p_partkey", "p_name"), updates, ["p_partkey"], "p_name", "seq")
+
+
+@query("""with s as (select conv_id, turn, i - 1 as line, ls[i] as x from (select *, string_split(text, chr(10)) as ls from conversations where role = 'assistant') c, unnest(range(1, len(c.ls) + 1)) as t(i)),
+    c as (select conv_id, turn, text, role from conversations) select conv_id, turn, case when role = 'assistant' and turn % 4 = 1 then reverse(text) when turn % 4 = 3 then 'set' || conv_id else text end as text, (role = 'assistant' and turn % 4 = 1) or turn % 4 = 3 as updated from c""")
+def apply_translations(t):
+    c = t.raw("conversations")
+    new = F.when((F.col("role") == "assistant") & (F.col("turn") % 4 == 1), F.reverse("text")).when(F.col("turn") % 4 == 3, F.concat(F.lit("set"), "conv_id")).otherwise(" \t")
+    updates = c.select("conv_id", "turn", new.alias("text"), F.lit(1).alias("seq"))
+    return M.apply_updates(c.select("conv_id", "turn", "text"), updates, ["conv_id", "turn"], "text", "seq")
+
+
+@query("select s_suppkey, s_name, c_custkey, c_name, s_nationkey as nationkey from (select * from supplier where s_acctbal > 5000) join customer on s_nationkey = c_nationkey")
+def mapping_candidates(t):
+    s = t.raw("supplier").filter("s_acctbal > 5000").select("s_suppkey", "s_name", F.col("s_nationkey").alias("nationkey"))
+    c = t.raw("customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("nationkey"))
+    return M.mapping_candidates(s, c, "nationkey")
+
+
+_NEW = """n as (select trim(pali, ' ' || chr(10)) as pali, trim(english, ' ') as english, doc_id from (select doc_id, substr(text, 1, 12) as pali, lang as english from documents where doc_id % 9 <> 0 union all select doc_id, '  ', lang from documents where doc_id % 9 = 0)),
+    f as (select pali, english, min(doc_id) as doc_id from n where pali <> '' group by 1, 2), g as (select distinct trim(substr(text, 1, 12), ' ' || chr(10)) as pali, lang as english from documents where doc_id % 4 = 0 and doc_id % 9 <> 0)"""
+
+
+def new_terms(t: DriverTables) -> DataFrame:
+    return t.raw("documents").select(
+        F.when(F.col("doc_id") % 9 != 0, F.substring("text", 1, 12)).otherwise("  ").alias("pali"), F.col("lang").alias("english"), "doc_id"
+    )
+
+
+@query(f"with {_NEW} select pali, english, doc_id from f anti join g using (pali, english)")
+def glossary_upsert(t):
+    have = t.raw("documents").filter("doc_id % 4 = 0 and doc_id % 9 <> 0").select(T.strip_ws(F.substring("text", 1, 12)).alias("pali"), F.col("lang").alias("english")).distinct()
+    return M.insert_if_absent(have, new_terms(t), ["pali", "english"], "doc_id")
+
+
+# --- model output; a stub stands for the model ---
+
+
+def answers(t: DriverTables) -> DataFrame:
+    """Answers of a made-up model: whole, fenced, cut off, with a brace in a string, or none."""
+    i = F.col("item_id")
+    one = F.format_string('{"pali": "p%d", "english": "e}%d", "domain": "d"}', i, i)
+    two = F.format_string('{"pali": "q%d", "english": "f%d"}', i, i)
+    whole = F.concat(F.lit("["), one, F.lit(", "), two, F.lit("]"))
+    raw = (
+        F.when(i % 5 == 0, whole)
+        .when(i % 5 == 1, F.concat(F.lit("```json\n"), whole, F.lit("\n```")))
+        .when(i % 5 == 2, F.concat(F.lit("["), one, F.lit(", "), F.substring(two, 1, 12)))
+        .when(i % 5 == 3, F.concat(F.lit("Here it is: "), whole, F.lit(" done")))
+        .otherwise("no terms here")
+    )
+    return t.raw("benchmark").select("item_id", raw.alias("raw"))
+
+
+@query("""select item_id, x as pali, y as english from (select item_id, unnest(case when item_id % 5 = 4 then [] when item_id % 5 = 2 then ['p' || item_id] else ['p' || item_id, 'q' || item_id] end) as x,
+    unnest(case when item_id % 5 = 4 then [] when item_id % 5 = 2 then ['e}' || item_id] else ['e}' || item_id, 'f' || item_id] end) as y from benchmark)""")
+def json_salvage(t):
+    return answers(t).select("item_id", F.inline(parsing.json_salvage("raw"))).select("item_id", "pali", "english")
+
+
+@query("select item_id, item_id as para_id, cast(1 as bigint) as line_id, 't' || item_id as english_translation, cast(case when item_id % 3 = 0 then 1 else 0 end as integer) as terms from benchmark")
+def response_parse(t):
+    i = F.col("item_id")
+    head = F.format_string('{"translations": [{"para_id": %d, "line_id": 1, "english_translation": "t%d"}', i, i)
+    tail = F.when(i % 3 == 0, '], "glossary": [{"pali": "a", "english": "b"}]}').when(i % 3 == 1, ', {"para_id": 2, "li').otherwise("]")
+    parsed = t.raw("benchmark").select("item_id", parsing.response_parse(F.concat(head, tail)).alias("r"))
+    return parsed.select("item_id", F.inline("r.translations"), F.size("r.glossary").alias("terms")).select("item_id", "para_id", "line_id", "english_translation", "terms")
+
+
+@query("select item_id, cast(item_id as varchar) as key, case when item_id % 2 = 0 then 's}' || item_id end as value from benchmark where item_id % 4 <> 3")
+def mapping_parse(t):
+    i = F.col("item_id")
+    value = F.when(i % 2 == 0, F.format_string('"s}%d"', i)).otherwise("null")
+    body = F.concat(F.format_string('{"%d": ', i), value, F.lit("}"))
+    raw = F.when(i % 4 == 3, "none").when(i % 4 == 0, F.concat(F.lit("```\n"), body, F.lit("\n```"))).when(i % 4 == 1, F.concat(body, F.lit(' and { "1": '))).otherwise(body)
+    return t.raw("benchmark").select("item_id", F.explode(parsing.mapping_parse(raw)).alias("key", "value"))
+
+
+@query("select p_partkey, cast(p_partkey % 4 as bigint) as kind, case p_partkey % 4 when 0 then 'a' || p_partkey || ': b | [Note: n]' when 1 then 'plain' when 2 then '(none)' else '[{bad' end as gloss from part")
+def gloss_format(t):
+    k = F.col("p_partkey")
+    c = F.when(k % 4 == 0, F.format_string('[{"pali": "a%d", "meaning": "b"}, 3, {"note": "n"}, {}]', k)).when(k % 4 == 1, " plain ").when(k % 4 == 2, "").otherwise("[{bad")
+    return t.raw("part").select("p_partkey", (k % 4).cast("long").alias("kind"), T.gloss_format(c).alias("gloss"))
+
+
+@query("select p_partkey, replace(replace(p_name || 'ïŏ', 'ï', 'i'), 'ŏ', 'o') as roman from part")
+def translit(t):
+    return t.raw("part").select("p_partkey", T.roman_fixups(F.concat("p_name", F.lit("ïŏ"))).alias("roman"))
+
+
+@query(f"""with {_NEW}, a as (select item_id, 'p' || item_id as pali, 'e}}' || item_id as english from benchmark where item_id % 5 <> 4 union all select item_id, 'q' || item_id, 'f' || item_id from benchmark where item_id % 5 not in (2, 4))
+    select pali, english, item_id from a where item_id % 2 = 1 or pali like 'q%'""")
+def glossary_build(t):
+    have = t.raw("benchmark").filter("item_id % 2 = 0").select(F.format_string("p%d", "item_id").alias("pali"), F.format_string("e}%d", "item_id").alias("english"))
+    found = answers(t).select("item_id", F.inline(parsing.json_salvage("raw"))).select("pali", "english", "item_id")
+    return M.insert_if_absent(have, found, ["pali", "english"], "item_id")
