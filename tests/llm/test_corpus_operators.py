@@ -1,0 +1,265 @@
+"""Quality rules, line dedup, near-duplicates, secret scan, vectors and the pipeline against brute force."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from quarry.llm.components import components
+from quarry.llm.lattice import NEIGHBOURS, near_vectors, nearest_e8
+from quarry.llm.line_dedup import dedup_lines
+from quarry.llm.near_dedup import drop_near_duplicates, near_duplicates, prob_minhash
+from quarry.llm.quality import quality_filter, quality_verdicts
+from quarry.llm.secret_scan import assembled, labelled_findings, scan_secrets, train
+from tests.llm.cases import empty, odd
+
+SF = "/root/testdata/sf0.001"
+WS = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def fold(s):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in s)
+
+
+@pytest.fixture(params=["odd", "empty"])
+def small(request, spark):
+    return {"odd": odd, "empty": empty}[request.param](spark)
+
+
+def brute_quality(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    seen, again = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7)), set()
+    for i in range(len(words) - 7):
+        if seen[tuple(words[i : i + 8])] > 1:
+            again.update(range(i, i + 8))
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    failed = len(words) < 20 or 100 * len(again) > 30 * len(words)
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(again), failed
+
+
+def test_base_rules(small):
+    got = quality_verdicts(small).collect()
+    cols = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert Counter((r.doc_id, *(r[c] for c in cols)) for r in got) == Counter((r.doc_id, *brute_quality(r.text)) for r in small.collect())
+    assert not any(r.kept and r.base_failed for r in got)
+
+
+def test_depleted_documents_go_and_copies_stay(spark):
+    body = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    menu = "home about contact terms privacy login register help news shop cart account search archive feed map jobs press blog team"
+    rows = [(i, f"{menu}\n{menu} again\n{body(i, 15)}", "a") for i in range(20)]
+    rows += [(100 + i, f"{menu}\n{body(i, 200)}", "a") for i in range(20)]
+    rows += [(200 + i, body(7, 60), "b") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id for r in quality_verdicts(df).filter("kept").collect()}
+    assert kept == {*range(100, 120), *range(200, 230)}
+    assert {r.doc_id for r in quality_filter(df).collect()} == kept
+
+
+def brute_lines(rows, least=20, docs=3):
+    held = defaultdict(list)
+    key = lambda x: fold(x.strip(WS))
+    for n, (i, text) in enumerate(rows):
+        for k in {key(x) for x in (text or "").split("\n")}:
+            if len(k) >= least:
+                held[k].append((n, i))
+    low = -(10**18)
+    best = {k: max(low if i is None else i for _, i in v) for k, v in held.items() if len(v) >= docs}
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if key(x) not in best or best[key(x)] == (low if i is None else i)]
+        yield i, len(lines), len(lines) - len(left), hashlib.sha256("\n".join(left).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("batches, fan_in", [(4, 3), (7, 2), (1, 2)])
+def test_line_dedup(small, batches, fan_in):
+    got = dedup_lines(small, batches=batches, fan_in=fan_in)
+    assert set(got.columns) == {*small.columns, "n_dropped"}
+    have = Counter((r.doc_id, r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in got.collect())
+    assert have == Counter(brute_lines([(r.doc_id, r.text) for r in small.collect()]))
+
+
+def test_line_dedup_over_batches(spark):
+    rng = np.random.default_rng(1)
+    rows = [(int(i), "\n".join(f"a line of some length {rng.integers(60)}" for _ in range(6))) for i in rng.permutation(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup_lines(df, batches=6, fan_in=2)
+    have = Counter((r.doc_id, r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in got.collect())
+    assert have == Counter(brute_lines(rows))
+
+
+def shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute_classes(rows):
+    sets = [shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if n and n >= 0.8 * (len(sets[i]) + len(sets[j]) - n):
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least.setdefault(root(i), []).append(d)
+    return Counter((d, min((x for x in least[root(i)] if x is not None), default=None)) for i, (d, _) in enumerate(rows))
+
+
+def test_probability_jaccard():
+    rng = np.random.default_rng(2)
+    a = {int(k): float(w) for k, w in zip(rng.integers(1, 1 << 62, 60), rng.random(60) * 3 + 0.2, strict=True)}
+    b = {k: w * (1 + (i % 3)) for i, (k, w) in enumerate(a.items()) if i > 8} | {int(k): 1.0 for k in rng.integers(1, 1 << 62, 7)}
+    exact = sum(1 / sum(max(a.get(e, 0) / a[d], b.get(e, 0) / b[d]) for e in a.keys() | b.keys()) for d in a.keys() & b.keys())
+    sign = lambda x: prob_minhash(np.array(list(x), dtype=np.uint64), np.array(list(x.values())), 4096)
+    assert abs((sign(a) == sign(b)).mean() - exact) < 0.04
+
+
+def test_near_duplicates(spark, small):
+    rows = [(r.doc_id, r.text) for r in small.collect()]
+    got = near_duplicates(small).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
+    assert sum(r.kept for r in got) == drop_near_duplicates(small).count()
+
+
+def test_near_duplicates_of_edited_texts(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for base in range(25):
+        words = [f"w{rng.integers(4000)}" for _ in range(120)]
+        for _ in range(int(rng.integers(1, 7))):
+            copy = list(words)
+            for at in rng.integers(0, 120, int(rng.integers(0, 6))):
+                copy[at] = f"e{rng.integers(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(df).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
+    assert all(r.kept == (r.doc_id == r.class_id) for r in got)
+
+
+def test_components(spark):
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(None, 3)]
+    up = {}
+
+    def root(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges[:-1]:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    want = {x: root(x) for e in edges[:-1] for x in e if e[0] != e[1]}
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == want
+
+
+def test_secret_forest_on_held_out_findings(spark):
+    model = train(labelled_findings(spark, rows=2000))
+    judged = model.transform(assembled(labelled_findings(spark, rows=800, seed=77)))
+    right = judged.filter(F.col("prediction") == F.col("secret")).count()
+    assert right >= 0.97 * 800
+    odd_rows = odd(spark).unionByName(
+        spark.createDataFrame(
+            [(500, 'é token = "2d480315a6562b81c25342984c4087344558d00e" and commit 9fceb02d0ae598e95dc970b74767f19372d61af8 end', "s", 1, "z", 2, 3, "l")],
+            odd(spark).schema,
+        )
+    )
+    got = scan_secrets(odd_rows, model=model).filter("doc_id = 500").orderBy("nth").collect()
+    assert [(r.nth, r.start, r.length, r.is_secret) for r in got] == [(0, 11, 40, True), (1, 64, 40, False)]
+    assert got[0].secret_sha256 == hashlib.sha256(b"2d480315a6562b81c25342984c4087344558d00e").hexdigest()
+    assert scan_secrets(empty(spark), model=model).count() == 0
+
+
+def test_nearest_lattice_points():
+    rng = np.random.default_rng(6)
+    y = rng.normal(size=(300, 8)) * 2
+    p = nearest_e8(y)
+    assert np.all((p * 2 == np.rint(p * 2)).all(axis=1) & (p.sum(axis=1) % 2 == 0))
+    here = ((y - p) ** 2).sum(axis=1)
+    assert np.all(here <= ((y[:, None] - (p[:, None] + NEIGHBOURS[None])) ** 2).sum(axis=2).min(axis=1) + 1e-9)
+
+
+def brute_vectors(rows, least=0.95):
+    ok = [v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v in rows]
+    x = np.array([v if good else [0.0] * 16 for (_, v), good in zip(rows, ok, strict=True)], dtype=np.float32).astype(float)
+    norm = np.sqrt((x**2).sum(1))
+    s = (x @ x.T) / np.maximum(np.outer(norm, norm), 1e-300)
+    link = (s >= least) & np.outer(ok, ok)
+    np.fill_diagonal(link, False)
+    return link
+
+
+def test_near_vectors(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for _ in range(60):
+        v = rng.normal(size=16)
+        for _ in range(int(rng.integers(1, 6))):
+            w = v + rng.normal(size=16) * rng.choice([0.02, 0.12, 0.3])
+            rows.append((len(rows) * 3, [float(a) for a in w]))
+    rows += [(-1, rows[0][1]), (-2, [a * 2 for a in rows[0][1]]), (1, None), (4, []), (7, [0.0] * 16), (10, [float("nan")] * 16), (13, [None] * 16)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, n int")
+    link = brute_vectors([(i, v if v else None) for i, v in rows])
+    got = {r.vec_id: r for r in near_vectors(df, chunk_rows=3).collect()}
+    found = sum(got[i].n_links for i, _ in rows)
+    assert all(got[i].n_links <= n for (i, _), n in zip(rows, link.sum(1), strict=True)) and found >= 0.97 * link.sum()
+    assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in (1, 4, 7, 10, 13))
+    assert got[0].component_id == got[-1].component_id == got[-2].component_id == -2 and got[-2].kept and not got[0].kept
+    assert near_vectors(df.limit(0)).count() == 0
+
+
+def test_recall_near_the_limit(spark):
+    """Pairs whose cosine is just above the limit are the hardest to find."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    y = 0.952 * x + np.sqrt(1 - 0.952**2) * z
+    data = [(i, [float(a) for a in v]) for i, v in enumerate(np.concatenate([x, y]))]
+    got = near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<float>")).agg(F.sum("n_links")).first()[0]
+    assert got >= 2 * 1500 * 0.97
+
+
+def test_pipeline_on_odd_rows(spark):
+    for docs in (odd(spark), empty(spark)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, SF)
+            if k < 4:
+                assert out.columns == docs.columns
+                docs = spark.createDataFrame(out.collect(), docs.schema)
+            else:
+                out.collect()
+
+
+def test_pipeline_stage_by_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["quality_rules"](spark, docs, SF).collect()
+    assert {r.doc_id for r in kept} <= {r.doc_id for r in docs.collect() if not brute_quality(r.text)[-1]}
+    kept_df = spark.createDataFrame(kept, docs.schema)
+    lined = stages["line_dedup"](spark, kept_df, SF).collect()
+    want = {i: (n, h) for i, _, n, h in brute_lines([(r.doc_id, r.text) for r in kept])}
+    assert all(want[r.doc_id][1] == hashlib.sha256(r.text.encode()).hexdigest() and r.n_chars == len(r.text) for r in lined)
+    lined_df = spark.createDataFrame(lined, docs.schema)
+    single = stages["near_dedup"](spark, lined_df, SF).collect()
+    assert {r.doc_id for r in single} == {c for _, c in brute_classes([(r.doc_id, r.text) for r in lined])}
+    mixed = stages["mixing"](spark, spark.createDataFrame(single, docs.schema), SF).collect()
+    assert set(mixed) <= set(single) and max(Counter(r.doc_id for r in mixed).values()) <= 2
