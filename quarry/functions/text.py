@@ -31,11 +31,10 @@ def fold(c: Column, ascii_only: bool = False) -> Column:
 
 def icontains(c: Column, query: str, wildcards: bool = False, ascii_only: bool = False) -> Column:
     """Case-insensitive substring search; with wildcards, % and _ in the query mean what they mean in LIKE."""
-    q = fold(F.lit(query), ascii_only)
     if wildcards:
-        escaped = F.concat(F.lit("%"), F.replace(q, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
-        return fold(c, ascii_only).like(escaped)
-    return F.contains(fold(c, ascii_only), q)
+        folded = query.translate({c: c + 32 for c in range(65, 91)}) if ascii_only else query.lower()
+        return fold(c, ascii_only).like("%" + folded.replace("\\", "\\\\") + "%")
+    return F.contains(fold(c, ascii_only), fold(F.lit(query), ascii_only))
 
 
 def any_of(c: Column, parts: tuple[str, ...]) -> Column:

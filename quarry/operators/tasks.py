@@ -115,7 +115,7 @@ def gaps(logs: DataFrame, ts: str, key: str) -> DataFrame:
     before = last.select("_day", F.lag("_last").over(Window.orderBy("_day")).alias("_before"))
     inside = F.lag(ts).over(Window.partitionBy("_day").orderBy(ts, key))
     df = daily.withColumn("_prev", inside).join(F.broadcast(before), "_day")
-    return df.withColumn("gap_s", F.col(ts).cast("double") - F.coalesce("_prev", "_before").cast("double")).drop("_day", "_prev", "_before")
+    return df.withColumn("gap_s", (F.unix_micros(ts) - F.unix_micros(F.coalesce("_prev", "_before"))) / 1e6).drop("_day", "_prev", "_before")
 
 
 def log_tail(logs: DataFrame, task_id: int, last_id: int) -> DataFrame:
