@@ -132,5 +132,43 @@ from v
 """
 
 
+OP6_SQL = """
+with recursive d as (
+    select doc_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') as w from documents where text is not null
+), s as (
+    select distinct doc_id, g from (
+        select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g from d
+    )
+), n as (
+    select doc_id, count(*) as n from s group by doc_id
+), p as (
+    select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+), l as (
+    select a, b from p join n x on a = x.doc_id join n y on b = y.doc_id where c >= 0.8 * (x.n + y.n - c)
+), e as (
+    select a, b from l union select b, a from l
+), r as (
+    select doc_id, doc_id as reach from documents union select r.doc_id, e.b from r join e on r.reach = e.a
+)
+select doc_id, min(reach) as class_id, doc_id = min(reach) as kept from r group by doc_id
+"""
+
+OP9_SQL = """
+with recursive v as (
+    select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+    where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l as (
+    select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.95
+), r as (
+    select vec_id, vec_id as reach from embeddings union select r.vec_id, l.b from r join l on r.reach = l.a
+), n as (
+    select a, count(*) as n from l group by a
+)
+select vec_id, coalesce(any_value(n.n), 0) as n_links, min(reach) as component_id, vec_id = min(reach) as kept
+from r left join n on vec_id = n.a group by vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op5_quality_rules": OP5_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_near_dedup": OP6_SQL, "op9_lattice": OP9_SQL}
