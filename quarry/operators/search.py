@@ -51,9 +51,9 @@ def books_by_category(books: DataFrame, category: str) -> DataFrame:
 
 def page(rows: DataFrame, order: list, number: int, size: int = 50) -> DataFrame:
     """One page, from 1, of rows in a total order, with the number of rows and pages."""
-    total = rows.agg(F.count("*").alias("total"))
-    total = total.withColumn("pages", F.greatest(F.lit(1), F.ceil(F.col("total") / size)).cast("long"))
-    return rows.orderBy(*order).offset((max(number, 1) - 1) * size).limit(size).crossJoin(F.broadcast(total))
+    total = rows.count()
+    shown = rows.orderBy(*order).offset((max(number, 1) - 1) * size).limit(size)
+    return shown.withColumns({"total": F.lit(total).cast("long"), "pages": F.lit(max(1, -(-total // size))).cast("long")})
 
 
 def domains(rows: DataFrame, column: str) -> DataFrame:
