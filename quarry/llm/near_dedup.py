@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.components import components
-from quarry.llm.shared import fingerprint, settled
+from quarry.llm.shared import fingerprint, partitions, settled
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: The finalizer constants of the SplitMix64 generator.
@@ -98,6 +98,56 @@ def band_keys(owner: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
+class Homes:
+    """The shingle sets of some nodes, with the nodes that hold each shingle."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        keys = np.concatenate(sets)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def similar(self, other: np.ndarray, similarity: float) -> np.ndarray:
+        """Which nodes' sets are similar enough to another set."""
+        low, high = (np.searchsorted(self.keys, other, side=x) for x in ("left", "right"))
+        n = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        both = np.bincount(self.owners[at], minlength=len(self.sizes))
+        return np.flatnonzero(both >= similarity * (self.sizes + len(other) - both))
+
+
+def _joins(batches: Iterator[pa.RecordBatch], shingle: int, similarity: float) -> Iterator[tuple[int, int]]:
+    """Of rows sorted by (h, chunk, prober), the pairs of components that similar nodes join, each as soon as it is found."""
+    shingles, key = Shingles(shingle), None
+    sets: list[np.ndarray] = []
+    roots: list[int] = []
+    homes: Homes | None = None
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("h", "chunk", "prober", "root")]
+        for h, chunk, prober, own, text in zip(*cols, batch.column("text"), strict=True):
+            if key != (h, chunk):
+                key, sets, roots, homes = (h, chunk), [], [], None
+                up.clear()
+            mine = np.unique(shingles.of(text.as_py()))
+            if not prober:
+                sets.append(mine)
+                roots.append(own)
+            elif sets:
+                homes = homes or Homes(sets)
+                for i in homes.similar(mine, similarity):
+                    a, b = root(roots[i]), root(own)
+                    if a != b:
+                        up[max(a, b)] = min(a, b)
+                        yield max(a, b), min(a, b)
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -106,6 +156,7 @@ def near_duplicates(
     similarity: float = 0.8,
     bands: int = 26,
     rows: int = 5,
+    chunk_rows: int = 512,
 ) -> DataFrame:
     """One row for each row of docs: doc_id, class_id, kept, t1 and t2 (hashes of the text).
 
@@ -115,11 +166,11 @@ def near_duplicates(
 
     Equal texts are one node. Each node has a ProbMinHash signature of its shingles, weighted by 1
     plus the logarithm of their counts, in bands; nodes with a band in common are candidates. First
-    the nodes of each bucket are compared with its least node. Where a bucket then still holds more
-    than one component, all its pairs from different components are compared, so no candidate pair
-    between components is left out. A comparison first asks the signatures, which drops pairs whose
-    estimate is more than five deviations below the limit, and then computes the similarity from
-    the whole texts. With 26 bands of 5 rows, a pair with similarity 0.8 is missed with a
+    the nodes of each bucket are compared with its least node: the signatures drop pairs whose
+    estimate is more than five deviations below the limit, and the whole texts decide. Where a
+    bucket then still holds more than one component, its nodes outside the largest of them, chunk_rows
+    at a time, are compared with all nodes of the bucket by their whole texts, so no candidate pair
+    between components is left out; only what joins components leaves a task. With 26 bands of 5 rows, a pair with similarity 0.8 is missed with a
     probability of 3e-5.
 
     Null, empty or blank text: no shingles, so a class of its own. Null doc_ids are above all others
@@ -180,13 +231,16 @@ def near_duplicates(
 
         return pairs.join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """(node, text) of the distinct ids in the column node."""
+        wanted = ids.distinct().join(nodes.select("node", "t1", "t2", "doc_id"), "node")
+        same = src["doc_id"].eqNullSafe(wanted["doc_id"]) & (src["t1"] == wanted["t1"]) & (src["t2"] == wanted["t2"])
+        return settled(src.join(wanted, same).select("node", "text").dropDuplicates(["node"]))
+
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are similar enough, by the whole texts."""
         pairs = settled(likely(pairs))
-        ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = ids.join(nodes.select("node", "t1", "t2", "doc_id"), "node")
-        same = src["doc_id"].eqNullSafe(wanted["doc_id"]) & (src["t1"] == wanted["t1"]) & (src["t2"] == wanted["t2"])
-        texts = settled(src.join(wanted, same).select("node", "text").dropDuplicates(["node"]))
+        texts = texts_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingles = Shingles(shingle)
@@ -212,12 +266,28 @@ def near_duplicates(
     links = settled(similar(inside.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()))
     found = settled(components(links))
     named = inside.join(found, "node", "left").select("h", "node", "lead", F.coalesce("root", "node").alias("root"))
-    mixed = named.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("h")
-    rest = settled(named.filter("node <> lead").join(mixed, "h"))
-    x = rest.select("h", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    y = rest.select("h", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    more = x.join(y, "h").filter("a < b and root_a <> root_b").select("a", "b").distinct()
-    links = links.unionByName(settled(similar(more)))
+    parts = named.groupBy("h", "root").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("h").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("members"), F.count("*").alias("roots")
+    )
+    chunks = F.ceil((F.col("members") - F.col("most")) / chunk_rows).cast("int")
+    rest = settled(named.join(mixed.filter("roots > 1").select("h", "main", chunks.alias("chunks")), "h"))
+    homes = rest.filter("root <> main").select("h", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"), F.lit(False).alias("prober"), "node", "root")
+    probers = rest.select("h", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("prober"), "node", "root")
+    work = (
+        homes.unionByName(probers)
+        .join(texts_of(rest.select("node")), "node")
+        .repartition(partitions(docs.sparkSession), "h", "chunk")
+        .sortWithinPartitions("h", "chunk", "prober", "node")
+        .select("h", "chunk", "prober", "root", "text")
+    )
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            found = list(_joins(batches, shingle, similarity))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    links = links.unionByName(settled(work.mapInArrow(join, "a long, b long")))
     found = settled(components(links))
 
     # every row: its node, its component, and the least id of that
