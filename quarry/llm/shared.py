@@ -15,7 +15,7 @@ WS_CHARS = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share, with its scheme: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
@@ -25,8 +25,9 @@ def shared_dir(spark: SparkSession) -> str:
             where = sc.getCheckpointDir()
     elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(where)
-    where = where.rstrip("/")
-    return where if "://" in where or where.startswith("file:") else f"file://{where}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(where)
+    whole = path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
 def scratch(spark: SparkSession, name: str) -> str:
