@@ -14,7 +14,7 @@ from quarry.llm.license_scan import scan_licenses
 from quarry.llm.mixing import mix, mixed_documents
 from quarry.llm.packing import cut_windows, pack
 from quarry.llm.sharding import communication_matrix, document_shards, shard_rows
-from quarry.llm.sst import Reader, read_shards, write_shards
+from quarry.llm.sst import Reader, id_of, read_shards, write_shards
 from tests.llm.cases import empty, odd
 
 SF = "/root/testdata/sf0.001"
@@ -127,8 +127,11 @@ def test_rounding_keeps_expectations(spark):
     assert abs(mean - rate) < 0.1
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
 def whole(text, end):
-    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, end]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, end]
 
 
 def crc(ids):
@@ -195,7 +198,7 @@ def test_token_shards(docs, spark, tmp_path):
             reader = Reader(f)
             assert (reader.docs, reader.tokens) == (m.docs, m.tokens)
             found = {i: reader.get(i) for i in texts}
-            assert sum(x is not None for x in found.values()) == len({k[:9] for k, _ in reader})
+            assert sum(x is not None for x in found.values()) == len({id_of(k) for k, _ in reader})
             single = [i for i in found if sum(r.doc_id == i for r in rows) == 1]
             assert all(x.tolist() == whole(texts[i], 1) for i, x in found.items() if x is not None and i in single)
             assert reader.get(10**15) is None and reader.get(-(10**15)) is None
