@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import partitions
-from quarry.llm.tokens import Encoder
+from quarry.llm.tokens import Encoder, encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -116,11 +116,11 @@ class Packer:
     _window = 0
 
 
-def sentence_ends(encoder: Encoder) -> np.ndarray:
+def sentence_ends(tokens: Encoder) -> np.ndarray:
     """For each id, whether its token closes a sentence: punctuation alone, with one of . ! ?"""
-    size = encoder.tokenizer.get_vocab_size()
+    size = tokens.tokenizer.get_vocab_size()
     ends = np.zeros(size, dtype=bool)
-    for token, i in encoder.tokenizer.get_vocab().items():
+    for token, i in tokens.tokenizer.get_vocab().items():
         token = token.removesuffix("</w>")
         ends[i] = any(c in ".!?" for c in token) and not any(c.isalnum() for c in token)
     return ends
@@ -159,14 +159,14 @@ def pack(
     ordered = ordered.sortWithinPartitions("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        packer = Packer(sentence_ends(encoder), size, sentence_penalty, inside_penalty, TaskContext.get().partitionId() << 32, chunk)
+        tokens = encoder(tokenizer)
+        packer = Packer(sentence_ends(tokens), size, sentence_penalty, inside_penalty, TaskContext.get().partitionId() << 32, chunk)
         schema = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    yield from packer.add(i, np.frombuffer(encoder.ids(t.as_py(), end), dtype="<u4"))
+                    yield from packer.add(i, np.frombuffer(tokens.ids(t.as_py(), end), dtype="<u4"))
             yield from packer.flush()
 
         out: list[tuple] = []

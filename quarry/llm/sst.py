@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import partitions, scratch
-from quarry.llm.tokens import Encoder
+from quarry.llm.tokens import encoder
 
 MAGIC = b"QSST0001"
 FOOTER = struct.Struct("<QQQQQQII8s")
@@ -193,18 +193,18 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
             batch = next(batches, None)
         if batch is None:
             return
-        encoder = Encoder(tokenizer)
+        tokens = encoder(tokenizer)
         fs, root = pyarrow.fs.FileSystem.from_uri(path)
         fs.create_dir(root, recursive=True)
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}.sst"
         last: tuple = ()
         with fs.open_output_stream(f"{root}/_{name}") as out:
-            writer = Writer(out, 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4)
+            writer = Writer(out, 2 if tokens.tokenizer.get_vocab_size() <= 1 << 16 else 4)
             while batch is not None:
                 for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     last = (i, last[1] + 1) if last and last[0] == i else (i, 0)
-                    writer.add(key_of(*last), np.frombuffer(encoder.ids(t.as_py(), end), dtype="<u4"))
+                    writer.add(key_of(*last), np.frombuffer(tokens.ids(t.as_py(), end), dtype="<u4"))
                 batch = next(batches, None)
             writer.close()
         fs.move(f"{root}/_{name}", f"{root}/{name}")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from functools import cache
 
 from tokenizers import Tokenizer
 
@@ -10,26 +12,52 @@ from tokenizers import Tokenizer
 _ODD = re.compile("[\x1c-\x1f]")
 
 
+#: A byte-level vocabulary writes printable bytes as they are and the others, in order, as characters from 256.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
 class Encoder(dict):
     """Ids as little-endian unsigned 32-bit bytes, for a tokenizer that never joins text over white space.
 
-    Each white-space-parted piece of a text is encoded by the library once and kept, up to `limit`
-    pieces; then the memory is emptied and filled anew. The result equals that of encoding the text.
+    It has to fold case after NFC and to encode a run of letters and what follows it on their own, as
+    the tokenizers file of words does. Each white-space-parted piece of a text is encoded once and
+    kept, while there are fewer than `limit`; a piece of letters with signs after them is put together
+    from the two. The result equals that of encoding the text.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 250_000):
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.parts: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return b"".join([i.to_bytes(4, "little") for i in ids])
+
+    def _part(self, part: str, letters: bool) -> bytes:
+        """Of folded letters, which the library's model takes as they are, byte for character, or of signs."""
+        ids = self.parts.get(part)
+        if ids is None:
+            if letters:
+                found = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(_BYTES))
+                ids = b"".join([t.id.to_bytes(4, "little") for t in found])
+            else:
+                ids = self._encode(part)
+            if len(self.parts) < self.limit and len(part) <= 64:
+                self.parts[part] = ids
+        return ids
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._encode(piece)
-        if len(piece) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
+        low = piece.lower()
+        letters = low.rstrip(",.;:!?")
+        # the library folds each character by itself, str.lower() looks around a capital sigma
+        plain = letters.isalpha() and (piece.isascii() or "\u03a3" not in piece and unicodedata.is_normalized("NFC", low))
+        if plain:
+            ids = self._part(letters, True) + (self._part(low[len(letters) :], False) if len(letters) < len(low) else b"")
+        else:
+            ids = self._encode(piece)
+        if len(self) < self.limit and len(piece) <= 64:
             self[piece] = ids
         return ids
 
@@ -41,3 +69,9 @@ class Encoder(dict):
         if _ODD.search(text):
             return self._encode(text) + last
         return b"".join(map(self.__getitem__, text.split())) + last
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(path)
