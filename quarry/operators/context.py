@@ -58,8 +58,8 @@ def reference_lookup(keys: DataFrame, references: DataFrame) -> DataFrame:
 
 def overlap(rows: DataFrame, terms: str, glossary: DataFrame, key: list[str]) -> DataFrame:
     """The glossary's entries whose head is among an array of terms, per key."""
-    each = rows.select(*key, F.explode(F.array_distinct(terms)).alias("pali"))
-    return each.join(glossary, "pali").select(*key, *glossary.columns).distinct()
+    each = rows.select(*key, F.explode(F.array_distinct(terms)).alias("pali")).distinct()
+    return each.join(glossary.distinct(), "pali").select(*key, *glossary.columns)
 
 
 def gloss_alignment(sentences: DataFrame, glosses: DataFrame) -> DataFrame:

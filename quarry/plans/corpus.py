@@ -380,8 +380,10 @@ def context_of(t: DriverTables, budget: int = 1000, chunk_tokens: int = 150) ->
     src = paras.select(F.col("book_id").alias("of_book"), F.col("head_id").alias("of_head"), "book_id", "para_id").join(s.select("book_id", "para_id", "line_id"), ["book_id", "para_id"])
     targets = C.linked_targets(src.select("of_book", "of_head", "book_id", "para_id", "line_id"), t.links())
     comm = C.commentary_tiered(heads.select(F.col("book_id").alias("of_book"), F.col("head_id").alias("of_head")), targets, s, budget)
-    grams = work.select("book_id", "head_id", T.ngrams(F.col("pali")).alias("grams"))
-    terms = C.overlap(grams, "grams", glossary(t), ["book_id", "head_id"]).groupBy("book_id", "head_id").agg(F.count("*").alias("terms"))
+    # entries are counted per term first, so a term joins once however many entries it has
+    grams = work.select("book_id", "head_id", F.explode(T.ngrams(F.col("pali"))).alias("pali")).distinct()
+    entries = glossary(t).distinct().groupBy("pali").agg(F.count("*").alias("n"))
+    terms = grams.join(entries, "pali").groupBy("book_id", "head_id").agg(F.sum("n").alias("terms"))
     defs = C.definition_lookup(work, ["book_id", "head_id", "para_id"], "pali", *definitions(t)).groupBy("book_id", "head_id").agg(F.countDistinct("word").alias("words"))
     previous = P.previous_paragraph(text).select("book_id", F.col("para_id").alias("first_para"), "previous")
     lines = chunked.join(s, ["book_id", "para_id"])
