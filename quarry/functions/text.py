@@ -69,11 +69,15 @@ def ngrams(c: Column, most: int = 5) -> Column:
     """Distinct runs of 1 to `most` folded pieces of two characters or more, joined by blanks; shorter pieces are dropped before."""
     t = F.transform(F.filter(pieces(c), lambda x: F.length(x) > 1), F.lower)
 
-    def of(n: int) -> Column:
-        starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
+    def runs(t: Column) -> Column:
+        def of(n: int) -> Column:
+            starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - (n - 1))).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
 
-    return F.array_distinct(F.concat(t, *(of(n) for n in range(2, most + 1))))
+        return F.array_distinct(F.concat(t, *(of(n) for n in range(2, most + 1))))
+
+    # as a lambda's variable the pieces are made once, not anew for each run
+    return F.element_at(F.transform(F.array(t), runs), 1)
 
 
 def long_words(c: Column, least: int = 5) -> Column:
