@@ -1,7 +1,7 @@
 """Ordered signature rules of licences, over texts in lower case whose words are parted by single blanks.
 
 A line of RULES: priority (higher wins), confidence in hundredths, label, keyword, pattern. The pattern
-is tried only where the keyword stands. Versions are words of their own, so 2.0 reads "2 0".
+is tried only where the keyword stands, so every form of the pattern holds it at a word's start. Versions are words of their own, so 2.0 reads "2 0".
 """
 
 RULES = """
@@ -11,7 +11,7 @@ RULES = """
 70 80 mit | mit license | the mit license(?: mit)?
 60 70 mit | mit license | mit license
 60 70 mit | expat license | expat license
-60 60 mit | license mit | (?:spdx )?license(?: identifier)? mit
+60 60 mit | mit | (?:spdx )?license(?: identifier)? mit
 60 60 mit | mit licensed | mit licensed
 62 70 mit-0 | mit no attribution | mit no attribution
 62 70 mit-0 | mit 0 | license(?: identifier)? mit 0
@@ -20,7 +20,7 @@ RULES = """
 62 60 mit-cmu | cmu license | cmu license
 88 100 isc | permission to use copy modify and or distribute | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 60 70 isc | isc license | (?:the )?isc license
-60 60 isc | license isc | license(?: identifier)? isc
+60 60 isc | isc | license(?: identifier)? isc
 88 100 apache-2.0 | apache license version 2 0 | licensed under the apache license version 2 0 the license you may not use this file except in compliance
 82 90 apache-2.0 | apache license version 2 0 | licensed under the apache license version 2 0
 80 90 apache-2.0 | apache license | apache license(?: version| v)? 2(?: 0)?
@@ -53,7 +53,7 @@ RULES = """
 78 75 gpl-2.0 | gpl v2 | gpl v2
 60 60 gpl | general public license | (?:gnu )?general public license
 60 55 gpl | gnu gpl | gnu gpl
-60 55 gpl | under the gpl | under (?:the terms of )?the gpl
+60 55 gpl | gpl | under (?:the terms of )?the gpl
 82 80 gpl-2.0-with-classpath-exception | classpath exception | classpath exception(?: 2 0)?
 82 80 gpl-3.0-with-gcc-exception | gcc runtime library exception | gcc runtime library exception
 82 80 gpl-2.0-with-font-exception | font exception | font exception(?: 2 0)?
@@ -142,7 +142,7 @@ RULES = """
 80 80 wtfpl | do what the fuck you want to public license | do what the fuck you want to public license
 62 70 wtfpl | wtfpl | wtfpl
 88 95 zlib | altered source versions | altered source versions must be plainly marked as such and must not be misrepresented as being the original software
-60 70 zlib | zlib license | (?:the )?zlib(?: libpng)? license
+60 70 zlib | zlib | (?:the )?zlib(?: libpng)? license
 62 70 libpng | libpng license | libpng license(?: version| v)?(?: 2(?: 0)?)?
 60 70 curl | curl license | (?:the )?curl license
 60 70 openssl | openssl license | (?:the )?openssl license
@@ -160,7 +160,7 @@ RULES = """
 60 70 w3c | w3c license | w3c license
 60 70 ntp | ntp license | (?:the )?ntp license
 60 70 ncsa | university of illinois ncsa | university of illinois ncsa open source license
-60 65 ncsa | ncsa license | ncsa(?: open source)? license
+60 65 ncsa | ncsa | ncsa(?: open source)? license
 60 70 icu | icu license | (?:the )?icu license
 60 70 unicode | unicode license | unicode license(?: agreement)?
 60 70 ijg | independent jpeg group | independent jpeg group(?: license)?

@@ -10,7 +10,7 @@ import pyarrow.fs
 import pytest
 from tokenizers import Tokenizer
 
-from quarry.llm.license_scan import scan_licenses
+from quarry.llm.license_scan import Scanner, scan_licenses
 from quarry.llm.mixing import mix, mixed_documents
 from quarry.llm.packing import cut_windows, pack
 from quarry.llm.sharding import communication_matrix, document_shards, shard_rows
@@ -82,6 +82,51 @@ def test_license_rules_overrule(spark):
     assert [r.labels for r in scan_licenses(df).orderBy("doc_id").collect()] == list(texts.values())
 
 
+def forms(tree):
+    """Texts of a parsed pattern: every alternative, optional parts without and with."""
+    texts = [""]
+    for op, arg in tree:
+        if op is re._constants.LITERAL:
+            more = [chr(arg)]
+        elif op is re._constants.IN:
+            more = [chr(c) for _, c in arg]
+        elif op is re._constants.NOT_LITERAL:
+            more = ["x"]
+        elif op is re._constants.BRANCH:
+            more = [x for t in arg[1] for x in forms(t)]
+        elif op is re._constants.SUBPATTERN:
+            more = forms(arg[3])
+        else:
+            low, high, part = arg
+            more = [x * n for x in forms(part) for n in {low, max(low, min(high, 1))}]
+        texts = [a + b for a in texts for b in dict.fromkeys(more)]
+    return texts
+
+
+def test_license_gate_loses_no_form():
+    scanner = Scanner()
+    every = set(scanner.by_keyword)
+    for r in scanner.rules:
+        for text in forms(re._parser.parse(r.pattern.pattern.removeprefix(" ").removesuffix("(?= )"))):
+            assert r.pattern.search(f" {text} ")
+            words = f" so {text} it is "
+            free = [(x.label, words.count(" ", 0, a), words.count(" ", a, b)) for a, b, x in scanner.detections(words, every)]
+            assert free and scanner.scan(words)[-1] == free, (r, text)
+
+
+def test_license_forms_beside_the_usual(spark):
+    texts = {
+        "SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: ISC": "isc",
+        "distributed under the terms of the GPL": "gpl",
+        "zlib/libpng License": "libpng,zlib",
+        "NCSA Open Source License": "ncsa",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.labels for r in scan_licenses(df).orderBy("doc_id").collect()]
+    assert [set(t.split(",")) <= set(g.split(",")) for t, g in zip(texts.values(), got, strict=True)] == [True] * 5, got
+
+
 def brute_targets(sizes):
     names = sorted(sizes, key=lambda s: (s is None, s))
     weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
