@@ -11,12 +11,28 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Runs of at least 16 characters of keys, with a digit among them.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
 #: What stands before a secret, before something that only looks like one, and in made-up values.
 SECRET_WORDS = "token|secret|passw|pwd|api.?key|apikey|access.?key|auth|bearer|credential|private.?key|client.?id|signature"
 OTHER_WORDS = "commit|sha|hash|md5|checksum|digest|uuid|guid|revision|build|version|etag|isbn|order|invoice|serial|model|ref"
 FAKE_WORDS = "example|sample|dummy|test|fake|placeholder|changeme|your|xxxx|redacted|insert|demo|todo"
+#: A value in quotes, and one without, which ends before the next name of a list and before closing punctuation.
+_QUOTED = "|".join(rf"(?<={q})[^\s{q}]{{4,}}(?<!\\)(?=\\?{q})" for q in "\"'`")
+_PLAIN = r"""(?=[^\s"'`]{4})(?![=>:])[^\s"'`<>,;&]+(?:[,;&](?![\w.-]{0,40}[=:]|\s|$)[^\s"'`<>,;&]+){0,32}(?<![.,;:)\]}])"""
+#: What stands before an assigned value: a secret word, the rest of its name and a sign. The first part, which is cheap, spares the second.
+_ASSIGNED = (
+    r"""(?<=[=:>][ \t]{0,4}\\?["'`]?)"""
+    rf"""(?<=(?i:{SECRET_WORDS})[\w.-]{{0,24}}\\?["'`]?\]?[ \t]{{0,4}}(?::=|=>|={{1,3}}|:)[ \t]{{0,4}}\\?["'`]?)"""
+)
+#: Values of at least 4 characters assigned to a secret word, after "Bearer" or in a URL's user part (the password, or a user
+#: alone), and runs of at least 16 characters of keys anywhere.
+CANDIDATE = "|".join(
+    [
+        rf"""(?:{_ASSIGNED}|(?<=[ \t]["'`]?)(?<=(?i:bearer)[ \t]{{1,4}}["'`]?))(?!\w{{1,20}}://)(?:{_QUOTED}|{_PLAIN})""",
+        r"""(?<=:)(?<=://[^\s/:@"'`]{0,64}:)[^\s/@"'`]{4,}(?=@)""",
+        r"""(?<=://)[^\s/:@"'`]{4,}(?=@)""",
+        r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}",
+    ]
+)
 #: Frequent English words of keys, names and paths, of at least four letters.
 DICTIONARY = """
 about access account action active admin album alert amount android angular answer apple archive article asset audio author avatar
@@ -46,6 +62,7 @@ visit voice wait wall watch water wave weather week west white widget width wind
 FEATURES = [
     "length", "distinct", "entropy", "digits", "uppers", "lowers", "symbols", "hex", "transitions", "vowel_pairs", "covered", "run",
     "ordered", "padded", "path_in", "path_before", "quoted", "assigned", "secret_before", "other_before", "fake_near", "fake_in",
+    "punctuated", "user_part",
 ]
 
 
@@ -87,6 +104,8 @@ def features(c: Column, before: Column, after: Column) -> dict[str, Column]:
         "other_before": yes(before.rlike(f"(?i)\\b(?:{OTHER_WORDS})[^\\n]{{0,24}}$")),
         "fake_near": yes(before.rlike(f"(?i){FAKE_WORDS}")) + yes(after.rlike(f"(?i){FAKE_WORDS}")),
         "fake_in": yes(low.rlike(FAKE_WORDS)),
+        "punctuated": share("[^A-Za-z0-9+/_=-]"),
+        "user_part": yes(before.rlike("://[^\\s/:@]*:$")) + yes(before.rlike("://[^\\s/@]*$") & after.startswith("@")),
     }
 
 
@@ -94,42 +113,73 @@ def labelled_findings(spark: SparkSession, rows: int = 4000, seed: int = 3) -> D
     """Labelled findings (before, candidate, after, secret), made by rules with a seed.
 
     Half are secrets: random keys of usual alphabets and prefixes after words and signs that
-    introduce them. Half look alike: commit and content hashes, paths, identifiers made of words,
-    made-up values, number series and keys said to be examples.
+    introduce them, with or without digits, shorter ones and punctuated passwords after such words,
+    and passwords of URLs. Half look alike: commit and content hashes, paths, identifiers made of
+    words, made-up values, number series, keys said to be examples, long words, and words, numbers
+    and code after secret words.
     """
     r = random.Random(seed)
-    alphabets = ["0123456789abcdef", "0123456789ABCDEF", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "_-", string.ascii_uppercase + string.digits]
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "_-", string.ascii_uppercase + string.digits, string.ascii_letters, string.ascii_uppercase]
     names = DICTIONARY.split()
     prose = lambda: " ".join(r.choice(names) for _ in range(r.randint(0, 6)))
     key = lambda n=None, a=None: "".join(r.choice(a or alphabets[0]) for _ in range(n or r.choice((20, 24, 32, 40, 40, 48, 64))))
 
-    def a_digit(x: str) -> str:
-        return x if any(ch.isdigit() for ch in x) else x[:-1] + r.choice("0123456789")
+    def password() -> str:
+        if r.random() < 0.4:
+            word = r.choice(names).translate(str.maketrans("aeio", r.choice(("aeio", "4310", "@e!0"))))
+            return f"{word.title()}{r.choice('!#$%&*?@.')}{r.randint(1, 9999)}{r.choice(('', '!', '?', '#'))}"
+        while True:
+            x = key(r.randint(8, 15), string.ascii_letters + string.digits + r.choice(("", "!#$%&*?@.+", "!#$%^&*()~|")))
+            # a plain value ends before these
+            if x[-1] not in ").&" and x[0] not in "&":
+                return x
 
     def secret() -> tuple[str, str, str]:
         quote = r.choice(['"', '"', "'", ""])
         name = r.choice(["token", "token", "secret", "api_key", "apikey", "API_KEY", "password", "passwd", "access_key", "SECRET_KEY", "auth_token", "client_secret", "Bearer", "Authorization: Bearer", "private_key", "credentials"])
+        kind = r.randrange(10)
+        if kind == 0:
+            user = r.choice([*names, "root", "postgres", "sa"])
+            value = password().replace("@", "")
+            return f"{prose()} {r.choice(['DATABASE_URL=', '', 'url: ', quote])}{r.choice(['postgres', 'mysql', 'amqp', 'redis', 'https', 'mongodb+srv', 'ftp'])}://{r.choice([user, user, ''])}:", value + "7" * (4 - len(value)), f"@{r.choice(names)}.{r.choice(names)}/{r.choice(names)}"
         sign = " " if name.endswith("Bearer") else r.choice([" = ", "=", ": ", ":", " := ", " => "])
+        if kind < 3:
+            value = password() if r.random() < 0.6 else key(r.choice((10, 12, 12, 14)), r.choice(alphabets[:6]))
+            return f"{prose()} {name}{sign}{quote}", value, f"{quote} {prose()}"
         head = r.choice(["", "", "", "", "sk_live_", "ghp_", "AKIA", "xoxb-", "glpat-", "AIza"])
         bare = r.random() < 0.08 and head
         text = head + key(a=r.choice(alphabets)) + r.choice(["", "", "", "=", "=="])
-        return f"{prose()} " if bare else f"{prose()} {name}{sign}{quote}", a_digit(text) if "=" not in text else text, f"{quote} {prose()}"
+        return f"{prose()} " if bare else f"{prose()} {name}{sign}{quote}", text, f"{quote} {prose()}"
 
     def other() -> tuple[str, str, str]:
-        kind = r.randrange(7)
+        kind = r.randrange(10)
+        some = lambda n: r.choice(["", str(n), str(n)])
         if kind == 0:
             return f"{prose()} {r.choice(['commit ', 'sha256:', 'sha1 ', 'md5 = ', 'checksum: ', 'digest ', 'revision ', 'etag: '])}", key(r.choice((32, 40, 64))), f" {prose()}"
         if kind == 1:
-            return f"{prose()} {r.choice(['https://', 'http://www.', 'see ', '/', './', ''])}", "/".join([*(r.choice(names) for _ in range(r.randint(2, 5))), f"{r.choice(names)}{r.randint(1, 999)}"]), r.choice([".html ", ".png ", " ", "?id=2 "]) + prose()
+            return f"{prose()} {r.choice(['https://', 'http://www.', 'see ', '/', './', ''])}", "/".join([*(r.choice(names) for _ in range(r.randint(2, 5))), f"{r.choice(names)}{some(r.randint(1, 999))}"]), r.choice([".html ", ".png ", " ", "?id=2 "]) + prose()
         if kind == 2:
-            return f"{prose()} {r.choice(['', 'id = ', 'name: ', '#', 'class=', 'key: '])}", r.choice("_-").join([*(r.choice(names) for _ in range(r.randint(2, 5))), str(r.randint(1, 9999))]), f" {prose()}"
+            return f"{prose()} {r.choice(['', 'id = ', 'name: ', '#', 'class=', 'key: '])}", r.choice("_-").join([*(r.choice(names) for _ in range(r.randint(2, 5))), *filter(None, [some(r.randint(1, 9999))])]), f" {prose()}"
         if kind == 3:
             return f"{prose()} {r.choice(['token = ', 'api_key: ', 'secret=', 'password = '])}{r.choice(['', chr(34)])}", r.choice(["your_api_key_goes_here_1", "x" * r.randint(15, 40) + "1", "example_token_" + key(8), "changeme1234567890", "0123456789abcdef" * r.randint(1, 3), "1234567890" * r.randint(2, 4), "test_" + key(16), "0" * r.randint(16, 40), "dummy-secret-value-" + str(r.randint(1, 99))]), f" {prose()}"
         if kind == 4:
             return f"{prose()} {r.choice(['order ', 'invoice no. ', 'isbn ', 'serial ', 'ref ', 'call ', ''])}", "".join(r.choice("0123456789") for _ in range(r.randint(16, 24))), f" {prose()}"
         if kind == 5:
             return f"{prose()} {r.choice(['uuid ', 'guid: ', 'id ', ''])}", "-".join(key(n) for n in (8, 4, 4, 4, 12)), f" {prose()}"
-        return f"{prose()} ", "".join(r.choice(names).title() for _ in range(r.randint(3, 5))) + str(r.randint(1, 99)), f" {prose()}"
+        if kind == 6:
+            return f"{prose()} ", "".join(r.choice(names).title() for _ in range(r.randint(3, 5))) + some(r.randint(1, 99)), f" {prose()}"
+        if kind == 7:
+            sounds = [c + v + e for c in "bcdfghlmnprstvw" for v in "aeiou" for e in ("", "n", "r", "s", "ng", "tion")]
+            word = "".join(r.choice(sounds) for _ in range(r.randint(6, 12)))
+            word = r.choice((str.lower, str.lower, str.title, str.upper))(word + "ung" * (len(word) < 16))
+            return r.choice([f"{prose()} ", f"{prose()} the ", f"{prose()} token of "]), word, f" {prose()}"
+        if kind == 8:
+            return f"{prose()} {r.choice(['https', 'ssh', 'ftp', 'git'])}://", r.choice(["user", "anonymous", "guest", r.choice(names)]), f"@{r.choice(names)}.{r.choice(names)}/{r.choice(names)}"
+        a, b = r.choice(names), r.choice(names)
+        value = r.choice([a, a, a.title(), f"{a}_{b}", f"{a}-{b}", f"{a}.{b}", f"{a}.{b}()", f"get_{a}()", f"{a.title()}{b.title()}", f"${{{a.upper()}_{b.upper()}}}", f"${a.upper()}", f"{a}[{b}]", "true", "false", "None", "null", "required", "string", "self.token", "********", str(r.randint(1000, 999999))])
+        value = f"{value}{b}" if len(value) < 4 else value
+        name = r.choice(["token", "secret", "api_key", "password", "passwd", "auth", "Author", "Authorization", "credentials", "signature", "client_id", "tokenizer", "Bearer"])
+        return f"{prose()} {name}{r.choice([' = ', '=', ': ', ':'])}{r.choice(['', '', chr(34)])}", value, f" {prose()}"
 
     data = [(*(secret() if i % 2 else other()), i % 2) for i in range(rows)]
     return spark.createDataFrame(data, "before string, candidate string, after string, secret int")
@@ -158,8 +208,8 @@ def scan_secrets(
 ) -> DataFrame:
     """The candidates of each row of docs, in order, with the forest's judgement.
 
-    Every match of CANDIDATE in the whole text is a candidate; `left` and `right` characters around it, up
-    to the neighbouring candidates, give its context. score is the forest's probability of a
+    Every match of CANDIDATE in the whole text is a candidate; `left` and `right` characters around it,
+    neighbouring candidates among them, give its context. score is the forest's probability of a
     secret, is_secret whether it is at least `least`. The result has doc_id, nth (from 0), start and
     length in characters, secret_sha256 (never the candidate itself), score and is_secret.
 
@@ -183,8 +233,8 @@ def scan_secrets(
                 "found",
                 lambda c, i: F.struct(
                     c.alias("candidate"),
-                    F.right(F.get("gaps", i), F.lit(left)).alias("before"),
-                    F.left(F.get("gaps", i + 1), F.lit(right)).alias("after"),
+                    F.right(F.get("gaps", i), F.lit(left)).alias("gap_before"),
+                    F.left(F.get("gaps", i + 1), F.lit(right)).alias("gap_after"),
                     F.length(F.get("gaps", i)).alias("gap"),
                 ),
             )
@@ -192,7 +242,16 @@ def scan_secrets(
     ).select("doc_id", "rid", "nth", "c.*")
     order = Window.partitionBy("rid").orderBy("nth")
     so_far = F.sum(F.col("gap") + F.length("candidate")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = each.withColumn("start", (so_far - F.length("candidate")).cast("long"))
+    # a neighbour has a character at least, so as many rows as characters reach far enough
+    earlier = F.collect_list(F.concat("gap_before", "candidate")).over(order.rowsBetween(-left, -1))
+    later = F.collect_list(F.concat("candidate", "gap_after")).over(order.rowsBetween(1, right))
+    placed = each.withColumns(
+        {
+            "start": (so_far - F.length("candidate")).cast("long"),
+            "before": F.right(F.concat(F.array_join(earlier, ""), "gap_before"), F.lit(left)),
+            "after": F.left(F.concat("gap_after", F.array_join(later, "")), F.lit(right)),
+        }
+    )
     judged = model.transform(assembled(placed))
     score = F.round(F.element_at(vector_to_array("probability"), 2), 6)
     return judged.select(
