@@ -164,8 +164,8 @@ def near_duplicates(
     `similarity`; classes are the components of the links. class_id is the least doc_id of the class
     and kept marks one row of it, with that doc_id.
 
-    Equal texts are one node. Each node has a ProbMinHash signature of its shingles, weighted by 1
-    plus the logarithm of their counts, in bands; nodes with a band in common are candidates. First
+    Equal texts are one node. Each node has a ProbMinHash signature of its set of shingles, each with
+    weight 1 however often it stands, in bands; nodes with a band in common are candidates. First
     the nodes of each bucket are compared with its least node: the signatures drop pairs whose
     estimate is more than five deviations below the limit, and the whole texts decide. Where a
     bucket then still holds more than one component, its nodes outside the largest of them, chunk_rows
@@ -187,9 +187,9 @@ def near_duplicates(
             keys, sigs = [], []
             with np.errstate(over="ignore"):
                 for t in batch.column(3):
-                    s, n = np.unique(shingles.of(t.as_py()), return_counts=True)
+                    s = np.unique(shingles.of(t.as_py()))
                     if len(s):
-                        owner = prob_minhash(s, 1 + np.log(n), m)
+                        owner = prob_minhash(s, np.ones(len(s)), m)
                         keys.append(band_keys(owner, rows).view(np.int64))
                         sigs.append((_mix(owner) >> np.uint64(56)).astype(np.uint8).tobytes())
                     else:

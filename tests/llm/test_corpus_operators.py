@@ -151,6 +151,19 @@ def test_near_duplicates_of_edited_texts(spark):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_near_duplicates_of_uneven_repeats(spark):
+    """Similar sets of shingles, some of which one text of a pair repeats a thousand times."""
+    rows = []
+    for base in range(20):
+        for times, more in ((5, 0), (1004, 10)):
+            runs = " ".join(f"a{base}x{k} " * times for k in range(10))
+            rows.append((len(rows), f"{runs} " + " ".join(f"b{base}x{k}" for k in range(more))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(df).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
+    assert sum(r.kept for r in got) == 20
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(None, 3)]
