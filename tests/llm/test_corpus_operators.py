@@ -255,6 +255,19 @@ def test_near_vectors(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_of_mixed_lengths(spark):
+    rng = np.random.default_rng(9)
+    x = {dim: rng.normal(size=(n, dim)) for dim, n in ((64, 40), (32, 2), (8, 10), (1, 1))}
+    rows = [[float(a) for a in v] for dim in x for v in x[dim] for _ in range(2)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in near_vectors(df).collect()}
+    assert all(got[i].n_links == 1 and got[i].component_id == i - i % 2 for i in range(len(rows)))
+    near = [v if i % 2 == 0 else [a * 1.01 + 0.01 * (k == 0) for k, a in enumerate(v)] for i, v in enumerate(rows)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(near)], "vec_id long, embedding array<float>")
+    found = {r.vec_id: r.component_id for r in near_vectors(df).collect()}
+    assert sum(found[i] == i - i % 2 for i in found) >= 0.97 * len(found) and all(found[i] == 80 + i % 4 // 2 * 2 for i in range(80, 84))
+
+
 def test_recall_near_the_limit(spark):
     """Pairs whose cosine is just above the limit are the hardest to find."""
     rng = np.random.default_rng(8)
