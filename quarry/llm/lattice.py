@@ -263,7 +263,7 @@ def near_vectors(
 
     links = settled(work.mapInArrow(compare, "node long, n long, to long"))
     counts = links.groupBy("node").agg(F.sum("n").alias("n"))
-    found = components(links.select(F.col("node").alias("a"), F.col("to").alias("b")))
+    found, _ = components(links.select(F.col("node").alias("a"), F.col("to").alias("b")))
     of_node = (
         nodes.select("f1", "f2", "node", "copies")
         .join(counts, "node", "left")

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.components import components
-from quarry.llm.shared import fingerprint, partitions, settled
+from quarry.llm.shared import discard, fingerprint, partitions, stage
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: The finalizer constants of the SplitMix64 generator.
@@ -148,6 +150,68 @@ def _joins(batches: Iterator[pa.RecordBatch], shingle: int, similarity: float) -
                         yield max(a, b), min(a, b)
 
 
+class Signed:
+    """Some nodes of a bucket with their components, signatures and band keys."""
+
+    def __init__(self, rows: list[tuple], m: int):
+        self.nodes, self.roots = (np.array([r[k] for r in rows]) for k in (0, 1))
+        self.sigs = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint8).reshape(-1, m)
+        self.bands = np.array([r[3] for r in rows], dtype=np.int64)
+
+    def likely(self, i: int, other: Signed, h: int, least: int) -> np.ndarray:
+        """Which of other's nodes, of another component, may be similar to node i and share no band before h with it."""
+        at = np.flatnonzero(other.roots != self.roots[i])
+        at = at[(other.sigs[at] == self.sigs[i]).sum(axis=1) >= least]
+        same = other.bands[at] == self.bands[i]
+        return at[other.bands[at, same.argmax(axis=1)] == h] if len(at) else at
+
+
+def _likely(batches: Iterator[pa.RecordBatch], m: int, least: int, homes_each: int, step: int = 1024) -> Iterator[tuple]:
+    """Of rows sorted by (h, chunk, prober), the homes and probers that have a likely partner: (h, chunk, prober, node, root).
+
+    Chunks are numbered anew, with homes_each homes at most, and a prober is in those with a partner of its own.
+    """
+    key, homes, waiting = None, [], []
+    used: dict[int, int] = {}
+
+    def compare() -> Iterator[tuple]:
+        home, more = Signed(homes, m), Signed(waiting, m)
+        for i in range(len(waiting)):
+            at = more.likely(i, home, key[0], least)
+            for j in at.tolist():
+                if j not in used:
+                    used[j] = len(used)
+                    yield key[0], key[1] * 2**31 + used[j] // homes_each, False, int(home.nodes[j]), int(home.roots[j])
+            for part in {used[j] // homes_each for j in at.tolist()}:
+                yield key[0], key[1] * 2**31 + part, True, int(more.nodes[i]), int(more.roots[i])
+        waiting.clear()
+
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("h", "chunk", "prober", "node", "root", "sig", "bands")]
+        for h, chunk, prober, *row in zip(*cols, strict=True):
+            if key != (h, chunk):
+                if waiting and homes:
+                    yield from compare()
+                key, homes, waiting = (h, chunk), [], []
+                used.clear()
+            if prober:
+                waiting.append(row)
+            else:
+                homes.append(row)
+            if len(waiting) >= step:
+                yield from compare()
+    if waiting and homes:
+        yield from compare()
+
+
+SPOT = "h long, chunk long, prober boolean, node long, root long"
+
+
+def _batches(rows: Iterator[tuple], kinds: dict[str, pa.DataType], size: int = 20_000) -> Iterator[pa.RecordBatch]:
+    while held := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds.values(), strict=True)], names=list(kinds))
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -157,6 +221,7 @@ def near_duplicates(
     bands: int = 26,
     rows: int = 5,
     chunk_rows: int = 512,
+    signed_rows: int = 8192,
 ) -> DataFrame:
     """One row for each row of docs: doc_id, class_id, kept, t1 and t2 (hashes of the text).
 
@@ -165,19 +230,26 @@ def near_duplicates(
     and kept marks one row of it, with that doc_id.
 
     Equal texts are one node. Each node has a ProbMinHash signature of its set of shingles, each with
-    weight 1 however often it stands, in bands; nodes with a band in common are candidates. First
-    the nodes of each bucket are compared with its least node: the signatures drop pairs whose
-    estimate is more than five deviations below the limit, and the whole texts decide. Where a
-    bucket then still holds more than one component, its nodes outside the largest of them, chunk_rows
-    at a time, are compared with all nodes of the bucket by their whole texts, so no candidate pair
-    between components is left out; only what joins components leaves a task. With 26 bands of 5 rows, a pair with similarity 0.8 is missed with a
-    probability of 3e-5.
+    weight 1 however often it stands, in bands; nodes with a band in common are candidates, unless
+    their signatures agree in so few registers that the similarity is more than five deviations below
+    the limit. Registers are independent and agree with the similarity as probability, so with 26
+    bands of 5 registers a pair at 0.8 shares no band with a probability of 3e-5, and is kept from
+    verification with one of 3e-6; pairs above it are missed more rarely still.
+
+    First the nodes of each bucket are compared with its least node, by their whole texts. Where a
+    bucket then still holds more than one component, the signatures of its nodes outside the largest
+    of them, signed_rows at a time, are compared with those of all its nodes, and the nodes that have
+    a likely partner in another component by their whole texts, chunk_rows at a time. A pair that
+    shares several bands is compared in the first of them. So no candidate pair between components
+    is left out; the texts of nodes that share no band with another are read only to sign them, and
+    no pair leaves a task but those that join components.
 
     Null, empty or blank text: no shingles, so a class of its own. Null doc_ids are above all others
     in a class. Repeated rows are copies; one is kept. An empty table gives an empty table. Other
     columns, whatever their names, are ignored.
     """
-    m = bands * rows
+    spark, m = docs.sparkSession, bands * rows
+    least = math.ceil(m * (similarity - 5 * (similarity * (1 - similarity) / m) ** 0.5))
     t1, t2 = fingerprint(F.col(text))
     src = docs.select(F.col(doc_id).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), F.col(text).alias("text"))
 
@@ -188,126 +260,108 @@ def near_duplicates(
             with np.errstate(over="ignore"):
                 for t in batch.column(3):
                     s = np.unique(shingles.of(t.as_py()))
-                    if len(s):
-                        owner = prob_minhash(s, np.ones(len(s)), m)
-                        keys.append(band_keys(owner, rows).view(np.int64))
-                        sigs.append((_mix(owner) >> np.uint64(56)).astype(np.uint8).tobytes())
-                    else:
-                        keys.append(np.empty(0, dtype=np.int64))
-                        sigs.append(b"")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                names=["doc_id", "t1", "t2", "bands", "sig"],
-            )
+                    owner = prob_minhash(s, np.ones(len(s)), m) if len(s) else None
+                    keys.append(None if owner is None else band_keys(owner, rows).view(np.int64))
+                    sigs.append(None if owner is None else (_mix(owner) >> np.uint64(56)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=names)
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    every = settled(
-        src.mapInArrow(sign, f"doc_id {kind}, t1 long, t2 long, bands array<long>, sig binary").withColumn(
-            "rid", F.monotonically_increasing_id()
-        )
-    )
-    # a node is a text, named by its least row; a row without shingles is a node of its own and has no candidates
-    some = every.filter(F.size("bands") > 0)
-    nodes = settled(
-        some.groupBy("t1", "t2").agg(
-            F.min("rid").alias("node"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.min("doc_id").alias("doc_id")
-        )
+    names = ["doc_id", "t1", "t2", "bands", "sig"]
+    signed = src.mapInArrow(sign, f"doc_id {kind}, t1 long, t2 long, bands array<long>, sig binary")
+    every, _ = stage(signed.withColumn("rid", F.monotonically_increasing_id()), "signed")
+    # a node is a text, named by its first row; a row without shingles is a node of its own and has no candidates
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
+    nodes = every.filter(F.col("sig").isNotNull()).groupBy("t1", "t2").agg(first, F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    # numbers rise with the nodes' first rows, so the least node of a component has its first row
+    nodes = nodes.orderBy("first").select(
+        F.monotonically_increasing_id().alias("node"), "t1", "t2", F.col("first.doc_id").alias("doc_id"), F.col("first.rid").alias("rid"), "bands", "sig"
     )
+    nodes, _ = stage(nodes, "nodes")
+
     places = nodes.select("node", F.explode("bands").alias("h"))
     buckets = places.groupBy("h").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("h", "lead")
-    inside = settled(places.join(buckets, "h"))
+    inside, inside_at = stage(places.join(buckets, "h").select("h", "node", "lead"), "inside")
+    wanted = inside.select("node").distinct().join(nodes.select("node", "t1", "t2", "doc_id"), "node")
+    same = src["doc_id"].eqNullSafe(wanted["doc_id"]) & (src["t1"] == wanted["t1"]) & (src["t2"] == wanted["t2"])
+    texts, texts_at = stage(src.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose signatures do not speak against them."""
-        a = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
-        b = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-        least = similarity - 5 * (similarity * (1 - similarity) / m) ** 0.5
+    def joined(spots: DataFrame) -> DataFrame:
+        """(a, b): the components that similar homes and probers of the same chunk join."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint8).reshape(-1, m) for k in (2, 3))
-                    yield batch.filter(pa.array((x == y).mean(axis=1) >= least)).select(["a", "b"])
-
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
-
-    def texts_of(ids: DataFrame) -> DataFrame:
-        """(node, text) of the distinct ids in the column node."""
-        wanted = ids.distinct().join(nodes.select("node", "t1", "t2", "doc_id"), "node")
-        same = src["doc_id"].eqNullSafe(wanted["doc_id"]) & (src["t1"] == wanted["t1"]) & (src["t2"] == wanted["t2"])
-        return settled(src.join(wanted, same).select("node", "text").dropDuplicates(["node"]))
+            with np.errstate(over="ignore"):
+                yield from _batches(_joins(batches, shingle, similarity), {"a": pa.int64(), "b": pa.int64()})
 
-    def similar(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar enough, by the whole texts."""
-        pairs = settled(likely(pairs))
-        texts = texts_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
+        dealt = spots.join(texts, "node").repartition(partitions(spark), "h", "chunk").sortWithinPartitions("h", "chunk", "prober", "node")
+        return dealt.select("h", "chunk", "prober", "root", "text").mapInArrow(run, "a long, b long")
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shingles = Shingles(shingle)
-            last: tuple = (None, None)
-            for batch in batches:
-                good = []
-                with np.errstate(over="ignore"):
-                    for x, a, b in zip(batch.column("a").to_pylist(), batch.column("text_a"), batch.column("text_b"), strict=True):
-                        if last[0] != x:
-                            last = x, np.unique(shingles.of(a.as_py()))
-                        s, t = last[1], np.unique(shingles.of(b.as_py()))
-                        both = len(np.intersect1d(s, t, assume_unique=True))
-                        good.append(both >= similarity * (len(s) + len(t) - both))
-                yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
-
-        return (
-            pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "b", "text_a", "text_b")
-            .mapInArrow(run, "a long, b long")
-        )
-
-    links = settled(similar(inside.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()))
-    found = settled(components(links))
-    named = inside.join(found, "node", "left").select("h", "node", "lead", F.coalesce("root", "node").alias("root"))
-    parts = named.groupBy("h", "root").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("h").agg(
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint8).reshape(-1, m) for k in (2, 3))
+                yield batch.filter(pa.array((x == y).sum(axis=1) >= least)).select(["a", "b"])
+
+    # the least nodes of the buckets with the others
+    a, b = (nodes.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
+    pairs = inside.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct().join(a, "a").join(b, "b")
+    pairs, pairs_at = stage(pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(maybe, "a long, b long"), "pairs")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / chunk_rows).alias("parts"))
+    leads = parts.select(F.col("a").alias("h"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("chunk"), F.lit(False).alias("prober"), "a", "a")
+    others = pairs.join(parts, "a").select(F.col("a").alias("h"), F.expr("pmod(xxhash64(b), parts)").alias("chunk"), F.lit(True).alias("prober"), "b", "b")
+    links, links_at = stage(joined(leads.union(others).toDF("h", "chunk", "prober", "node", "root")), "links")
+    found, found_at = components(links)
+
+    # the buckets that still hold several components
+    named = inside.join(found, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"))
+    sizes = named.groupBy("h", "root").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("h").agg(
         F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("members"), F.count("*").alias("roots")
     )
-    chunks = F.ceil((F.col("members") - F.col("most")) / chunk_rows).cast("int")
-    rest = settled(named.join(mixed.filter("roots > 1").select("h", "main", chunks.alias("chunks")), "h"))
-    homes = rest.filter("root <> main").select("h", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"), F.lit(False).alias("prober"), "node", "root")
-    probers = rest.select("h", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("prober"), "node", "root")
-    work = (
-        homes.unionByName(probers)
-        .join(texts_of(rest.select("node")), "node")
-        .repartition(partitions(docs.sparkSession), "h", "chunk")
-        .sortWithinPartitions("h", "chunk", "prober", "node")
-        .select("h", "chunk", "prober", "root", "text")
+    chunks = F.ceil((F.col("members") - F.col("most")) / signed_rows).alias("chunks")
+    rest = named.join(mixed.filter("roots > 1").select("h", "main", chunks), "h").join(nodes.select("node", "sig", "bands"), "node")
+    rest, rest_at = stage(rest, "mixed")
+    row = ["node", "root", "sig", "bands"]
+    homes = rest.filter("root <> main").select("h", F.expr("pmod(xxhash64(node), chunks)").alias("chunk"), F.lit(False).alias("prober"), *row)
+    probers = rest.select("h", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"), F.lit(True).alias("prober"), *row)
+    dealt = homes.unionByName(probers).repartition(partitions(spark), "h", "chunk").sortWithinPartitions("h", "chunk", "prober", "node")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"h": pa.int64(), "chunk": pa.int64(), "prober": pa.bool_(), "node": pa.int64(), "root": pa.int64()}
+        yield from _batches(_likely(batches, m, least, chunk_rows), kinds)
+
+    spots, spots_at = stage(dealt.mapInArrow(likely, SPOT), "likely")
+    more, more_at = stage(joined(spots), "links")
+    discard(spark, inside_at, texts_at, pairs_at, rest_at, spots_at)
+    final, _ = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    discard(spark, links_at, found_at, more_at)
+
+    # every row: the first row of its node's component
+    firsts = nodes.select(F.col("node").alias("root"), F.col("doc_id").alias("class_id"), F.col("rid").alias("first"))
+    classes = nodes.select("t1", "t2", "node", "doc_id", "rid").join(final.join(firsts, "root").select("node", "class_id", "first"), "node", "left")
+    linked = F.col("first").isNotNull()
+    classes = classes.select(
+        "t1", "t2", F.when(linked, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.coalesce("first", "rid").alias("first")
+    )
+    out = every.select("doc_id", "rid", "t1", "t2").join(classes, ["t1", "t2"], "left")
+    # rows without shingles have no node
+    alone = F.col("first").isNull()
+    return out.select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        (alone | (F.col("rid") == F.col("first"))).alias("kept"),
+        "t1",
+        "t2",
     )
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            found = list(_joins(batches, shingle, similarity))
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    links = links.unionByName(settled(work.mapInArrow(join, "a long, b long")))
-    found = settled(components(links))
-
-    # every row: its node, its component, and the least id of that
-    rows_of = every.join(nodes.select("t1", "t2", "node"), ["t1", "t2"], "left").select("rid", "doc_id", "t1", "t2", F.coalesce("node", "rid").alias("node"))
-    rows_of = rows_of.join(found, "node", "left").select("rid", "doc_id", "t1", "t2", F.coalesce("root", "node").alias("root"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
-    best = rows_of.groupBy("root").agg(first.alias("best")).select("root", F.col("best.doc_id").alias("class_id"), F.col("best.rid").alias("first"))
-    return rows_of.join(best, "root").select("doc_id", "class_id", (F.col("rid") == F.col("first")).alias("kept"), "t1", "t2")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of docs for each class of near_duplicates(); names that begin with _quarry are reserved."""
-    kept = near_duplicates(docs, doc_id, text, **options).filter("kept")
-    kept = kept.groupBy(F.col("doc_id").alias("_quarry_id"), F.col("t1").alias("_quarry_1"), F.col("t2").alias("_quarry_2")).agg(
-        F.count("*").alias("_quarry_keep")
-    )
+    """The rows of docs that near_duplicates() keeps; of rows equal in id and text any one; names that begin with _quarry are reserved."""
+    key = ["_quarry_id", "_quarry_1", "_quarry_2"]
+    marked = near_duplicates(docs, doc_id, text, **options).select(F.col("doc_id").alias(key[0]), F.col("t1").alias(key[1]), F.col("t2").alias(key[2]), "kept")
+    marked, _ = stage(marked.groupBy(*key).agg(F.count_if("kept").alias("_quarry_kept"), F.count("*").alias("_quarry_n")), "marked")
     t1, t2 = fingerprint(F.col(text))
-    same = (
-        F.col(doc_id).eqNullSafe(F.col("_quarry_id")) & (t1 == F.col("_quarry_1")) & (t2 == F.col("_quarry_2"))
-    )
-    nth = F.row_number().over(Window.partitionBy("_quarry_id", "_quarry_1", "_quarry_2").orderBy(F.lit(0)))
-    joined = docs.join(kept, same).withColumn("_quarry_nth", nth)
-    return joined.filter(F.col("_quarry_nth") <= F.col("_quarry_keep")).select(*docs.columns)
+    same = F.col(doc_id).eqNullSafe(F.col(key[0])) & (t1 == F.col(key[1])) & (t2 == F.col(key[2]))
+    every = docs.join(marked.filter("_quarry_kept = _quarry_n"), same)
+    # rows that repeat id and text are one node, of which one row is kept at most
+    one = docs.join(marked.filter("_quarry_kept = 1 and _quarry_n > 1"), same).dropDuplicates(key)
+    return every.select(*docs.columns).unionByName(one.select(*docs.columns))

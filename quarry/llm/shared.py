@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +14,21 @@ from pyspark.sql import functions as F
 WS = r"\x20\x09-\x0D"
 #: The same characters one by one, as trim() takes them.
 WS_CHARS = " \t\n\x0b\x0c\r"
+_RECLAIM = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, with its scheme: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share, with its scheme: spark.checkpoint.dir.
+
+    Where that is unset, a temporary folder serves a local master, whose driver and executors are one
+    process; a cluster gets an error.
+    """
     sc = spark.sparkContext
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where is None:
-        where = sc.getCheckpointDir()
-        if where is None:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-shared-"))
-            where = sc.getCheckpointDir()
-    elif sc.getCheckpointDir() is None:
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if where is None and not sc._jsc.sc().isLocal():
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    where = where or tempfile.mkdtemp(prefix="quarry-shared-")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(where)
     path = sc._jvm.org.apache.hadoop.fs.Path(where)
     whole = path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString()
@@ -35,10 +40,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def reclaimed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of each query planned in here as soon as the query has ended."""
+    was = spark.conf.get(_RECLAIM, None)
+    spark.conf.set(_RECLAIM, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_RECLAIM, was) if was is not None else spark.conf.unset(_RECLAIM)
+
+
 def stage(df: DataFrame, name: str, *partition_by: str) -> tuple[DataFrame, str]:
-    """Writes df as Parquet in the shared folder and reads it back, which cuts its lineage there."""
+    """Writes df as compressed Parquet in the shared folder and reads it back, which cuts its lineage there; the path is for discard()."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
+    with reclaimed(spark):
+        df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -51,9 +68,10 @@ def discard(spark: SparkSession, *paths: str) -> None:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint, which Spark deletes once nothing refers to it."""
+    """df as a reliable checkpoint, for frames of any columns; Spark keeps it unless spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with reclaimed(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -164,6 +164,33 @@ def test_near_duplicates_of_uneven_repeats(spark):
     assert sum(r.kept for r in got) == 20
 
 
+def test_near_duplicates_of_mixed_buckets(spark):
+    """One large group whose texts share most of their words but few links, so that buckets hold many components."""
+    rng = np.random.default_rng(14)
+    common = [f"c{k}" for k in range(400)]
+    rows = []
+    for k in range(90):
+        own = [f"o{k}x{j}" for j in range(int(rng.integers(30, 150)))]
+        at = int(rng.integers(0, 60))
+        rows.append((len(rows), " ".join(common[at:] + own)))
+    for k in range(40):
+        i = int(rng.integers(0, 90))
+        rows.append((len(rows), rows[i][1] + f" tail{k}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_classes(rows)
+    assert 20 < len({c for _, c in want}) < 110
+    for sizes in ({}, {"chunk_rows": 3, "signed_rows": 7}):
+        assert Counter((r.doc_id, r.class_id) for r in near_duplicates(df, **sizes).collect()) == want
+
+
+def test_repeated_rows_are_kept_once(spark):
+    long = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, long, "a")] * 3 + [(None, long, "b")] * 2 + [(2, "", "c")] * 2 + [(None, None, None)] * 2 + [(0, "short", "d")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    got = Counter(tuple(r) for r in drop_near_duplicates(df).collect())
+    assert got == Counter({(1, long, "a"): 1, (2, "", "c"): 2, (None, None, None): 2, (0, "short", "d"): 1})
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(None, 3)]
@@ -178,7 +205,7 @@ def test_components(spark):
         a, b = root(a), root(b)
         up[max(a, b)] = min(a, b)
     want = {x: root(x) for e in edges[:-1] for x in e if e[0] != e[1]}
-    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"))[0].collect()}
     assert got == want
 
 
