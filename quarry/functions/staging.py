@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the folder of spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """df as a checkpoint in the folder of spark.checkpoint.dir.
+
+    Where that is unset, a temporary folder serves a local master, whose driver and executors are one process; a
+    cluster gets an error.
+    """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarry-shared-"))
+        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if where is None and not sc._jsc.sc().isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="quarry-shared-"))
     return df.checkpoint(eager=True)

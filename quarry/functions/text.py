@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,9 +67,13 @@ def tokens(c: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(pieces(c), lambda t: (F.length(t) > 2) & (F.length(t) < 40)), F.lower))
 
 
+def gram_pieces(c: Column) -> Column:
+    """Folded pieces of two characters or more, in order."""
+    return F.transform(F.filter(pieces(c), lambda x: F.length(x) > 1), F.lower)
+
+
 def ngrams(c: Column, most: int = 5) -> Column:
     """Distinct runs of 1 to `most` folded pieces of two characters or more, joined by blanks; shorter pieces are dropped before."""
-    t = F.transform(F.filter(pieces(c), lambda x: F.length(x) > 1), F.lower)
 
     def runs(t: Column) -> Column:
         def of(n: int) -> Column:
@@ -77,7 +83,7 @@ def ngrams(c: Column, most: int = 5) -> Column:
         return F.array_distinct(F.concat(t, *(of(n) for n in range(2, most + 1))))
 
     # as a lambda's variable the pieces are made once, not anew for each run
-    return F.element_at(F.transform(F.array(t), runs), 1)
+    return F.element_at(F.transform(F.array(gram_pieces(c)), runs), 1)
 
 
 def long_words(c: Column, least: int = 5) -> Column:
@@ -137,3 +143,22 @@ def roman_fixups(c: Column) -> Column:
     for old, new in (("ï", "i"), ("ü", "u"), ("ĕ", "e"), ("ŏ", "o"), ("l̤", "ḷ")):
         c = F.replace(c, F.lit(old), F.lit(new))
     return c
+
+
+def filled(template: str, fields: dict[str, Column]) -> Column:
+    """The template with each {name} as that field's text; null is empty, and braces in a field mean nothing."""
+    parts = re.split(r"\{(\w+)\}", template)
+    texts = [F.coalesce(fields[x].cast("string"), F.lit("")) if i % 2 else F.lit(x) for i, x in enumerate(parts)]
+    return F.concat(*texts)
+
+
+def local_time(epoch: Column) -> Column:
+    """Seconds since 1970 as date and time in the session's time zone; null stays."""
+    return F.date_format(F.timestamp_seconds(epoch), "yyyy-MM-dd HH:mm:ss")
+
+
+def id_list(c: Column) -> Column:
+    """The whole numbers of a comma-separated list; null where there are none or a part is not a number, which means no restriction."""
+    given = F.filter(F.transform(F.split(c, ","), strip_ws), lambda x: x != "")
+    fits = (F.size(given) > 0) & F.forall(given, lambda x: x.rlike(r"^[+-]?\d+$"))
+    return F.when(fits, F.transform(given, lambda x: x.cast("long")))

@@ -50,3 +50,22 @@ def cascade_delete(tasks: DataFrame, logs: DataFrame, gone: DataFrame) -> tuple[
     """tasks and logs without the given tasks that have ended."""
     ended = gone.join(tasks.filter(F.col("status").isin("done", "failed", "cancelled")).select("id"), "id", "left_semi")
     return tasks.join(ended, "id", "left_anti"), logs.join(ended.withColumnRenamed("id", "task_id"), "task_id", "left_anti")
+
+
+def with_defaults(table: DataFrame, defaults: DataFrame, key: list[str]) -> DataFrame:
+    """table with the default rows whose key it lacks; both have the same columns."""
+    return table.unionByName(defaults.select(*table.columns).join(table.select(*key), key, "left_anti"))
+
+
+def with_omitted(mapping: DataFrame, asked: DataFrame, key: list[str], value: str, extra: list[str] | None = None) -> DataFrame:
+    """A row for each key asked for, with null as the value of those that the mapping omits, and those of the mapping that nobody asked for.
+
+    `extra` names columns of asked that pass over.
+    """
+    left = asked.select(*key, *(extra or [])).distinct()
+    return left.join(mapping.select(*key, value), key, "full_outer").select(*key, *(extra or []), value)
+
+
+def mapped_counts(rows: DataFrame, chunk: list[str], value: str) -> DataFrame:
+    """For each chunk its rows and how many of them have a value."""
+    return rows.groupBy(*chunk).agg(F.count("*").alias("asked"), F.count(value).alias("mapped"))

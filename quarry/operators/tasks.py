@@ -14,9 +14,27 @@ def next_task(tasks: DataFrame, now: float, n: int = 1) -> DataFrame:
     return runnable(tasks, now).orderBy("priority", "created_at", "id").limit(n)
 
 
-def next_key(keys: DataFrame, provider: str) -> DataFrame:
-    usable = (F.col("provider") == provider) & (F.col("is_active") == 1) & F.col("exhausted_at").isNull()
-    return keys.filter(usable).orderBy("total_calls", "id").limit(1)
+def startable(tasks: DataFrame, now: float, most: int) -> DataFrame:
+    """The next tasks to start so that no more than `most` run: what a poller takes at each look."""
+    free = max(0, most - tasks.filter("status = 'running'").count())
+    return next_task(tasks, now, free)
+
+
+def usable_keys(keys: DataFrame, provider: str | None = None, allowed: list[int] | None = None) -> DataFrame:
+    """Active keys that are not exhausted, of a provider and among the allowed ids, where these are given."""
+    df = keys.filter((F.col("is_active") == 1) & F.col("exhausted_at").isNull())
+    if provider is not None:
+        df = df.filter(F.col("provider") == provider)
+    return df if allowed is None else df.filter(F.col("id").isin(allowed))
+
+
+def next_key(keys: DataFrame, provider: str, allowed: list[int] | None = None) -> DataFrame:
+    return usable_keys(keys, provider, allowed).orderBy("total_calls", "id").limit(1)
+
+
+def after_model_change(keys: DataFrame, old: str, new: str) -> DataFrame:
+    """Another model has other limits, so no key stays exhausted."""
+    return keys if old == new else keys.withColumn("exhausted_at", F.lit(None).cast("double"))
 
 
 def restored_keys(keys: DataFrame, now: float, cooldown: float = 3600) -> DataFrame:
@@ -59,16 +77,49 @@ def retried(tasks: DataFrame) -> DataFrame:
 
 
 def current_state(events: DataFrame) -> DataFrame:
-    """(task, state, at) events to the last state of each task; terminal states also give the end."""
-    last = events.groupBy("task_id").agg(F.max(F.struct("ts", "event_id", "state")).alias("r"))
-    state = F.col("r.state")
-    return last.select("task_id", state.alias("state"), F.when(state.isin("done", "failed", "cancelled"), F.col("r.ts")).alias("finished_at"))
+    """(task, state, at) events to the last state of each task; terminal states also give the end and the error's text, if events have one."""
+    error = F.col("error") if "error" in events.columns else F.lit(None).cast("string").alias("error")
+    last = events.groupBy("task_id").agg(F.max(F.struct("ts", "event_id", "state", error)).alias("r"))
+    ended = F.col("r.state").isin("done", "failed", "cancelled")
+    return last.select(
+        "task_id", F.col("r.state").alias("state"), F.when(ended, F.col("r.ts")).alias("finished_at"), F.when(ended, F.col("r.error")).alias("error_msg")
+    )
 
 
 def key_counters(events: DataFrame) -> DataFrame:
     return events.groupBy("key_id").agg(F.count("*").alias("total_calls"), F.count_if(F.col("is_error")).alias("total_errors"))
 
 
+def key_flags(events: DataFrame) -> DataFrame:
+    """Keys as their log of (key_id, ts, event_id, what) leaves them: calls, errors, exhausted_at and is_active.
+
+    what: call, error, exhausted (an error too), cleared, on, off or delete; a key whose last flag is delete is gone.
+    """
+    at = F.struct("ts", "event_id")
+    is_ = lambda *names: F.col("what").isin(*names)
+    last = lambda *names: F.max(F.when(is_(*names), F.struct("ts", "event_id", "what")))
+    df = events.groupBy("key_id").agg(
+        F.count_if(is_("call")).alias("total_calls"),
+        F.count_if(is_("error", "exhausted")).alias("total_errors"),
+        last("exhausted", "cleared").alias("spent"),
+        last("on", "off").alias("switch"),
+        F.max(F.when(is_("delete"), at)).alias("gone"),
+        F.max(at).alias("latest"),
+    )
+    exhausted = F.when(F.col("spent.what") == "exhausted", F.col("spent.ts"))
+    active = F.coalesce(F.col("switch.what") != "off", F.lit(True)).cast("int")
+    return df.filter("gone is null or gone < latest").select(
+        "key_id", "total_calls", "total_errors", exhausted.alias("exhausted_at"), active.alias("is_active")
+    )
+
+
+def progress(done: Column, total: Column, elapsed: Column) -> dict[str, Column]:
+    """Percent done, items a second and the whole seconds left, null where nothing is done yet or nothing is left."""
+    rate = done / F.greatest(elapsed, F.lit(0.001))
+    left = F.when((rate > 0) & (done < total), F.floor((total - done) / rate)).cast("long")
+    return {"percent": done / F.greatest(total, F.lit(1)) * 100, "rate": rate, "left_s": left}
+
+
 def durations(started: Column, finished: Column, now: float) -> dict[str, Column]:
     """How long a task took and how long ago it began, in words."""
     d, ago = finished - started, F.lit(now) - started
@@ -104,17 +155,23 @@ def quota(calls: DataFrame, per_day: int = 1500) -> DataFrame:
     return used.withColumns({"remaining": F.greatest(F.lit(0), per_day - F.col("used")).cast("long"), "exhausted": F.col("used") >= per_day})
 
 
-def gaps(logs: DataFrame, ts: str, key: str) -> DataFrame:
-    """Each entry with the seconds since the one before it, over all entries.
+def pool_state(quotas: DataFrame) -> DataFrame:
+    """For each day of quota() the keys used, those with calls left, and whether none has any."""
+    left = F.count_if(~F.col("exhausted"))
+    return quotas.groupBy("day").agg(F.count("*").alias("keys"), left.alias("available"), (left == 0).alias("all_exhausted"))
 
-    The order is taken in days: within each by a window, and across days by the last entry of the days before, so no
-    task sorts all entries.
+
+def gaps(logs: DataFrame, ts: str, of: str, key: str) -> DataFrame:
+    """Each entry with the seconds since the one before it of the same `of` (a task or a key), null for its first.
+
+    The order is taken in days: within each by a window, and across days by the last entry of the days before, so the
+    entries of one that has very many meet by days.
     """
     daily = logs.withColumn("_day", F.to_date(ts))
-    last = daily.groupBy("_day").agg(F.max(ts).alias("_last"))
-    before = last.select("_day", F.lag("_last").over(Window.orderBy("_day")).alias("_before"))
-    inside = F.lag(ts).over(Window.partitionBy("_day").orderBy(ts, key))
-    df = daily.withColumn("_prev", inside).join(F.broadcast(before), "_day")
+    last = daily.groupBy(of, "_day").agg(F.max(ts).alias("_last"))
+    before = last.select(of, "_day", F.lag("_last").over(Window.partitionBy(of).orderBy("_day")).alias("_before"))
+    inside = F.lag(ts).over(Window.partitionBy(of, "_day").orderBy(ts, key))
+    df = daily.withColumn("_prev", inside).join(before, [of, "_day"])
     return df.withColumn("gap_s", (F.unix_micros(ts) - F.unix_micros(F.coalesce("_prev", "_before"))) / 1e6).drop("_day", "_prev", "_before")
 
 
@@ -128,3 +185,13 @@ def token_stats(rows: DataFrame, budget: int = 8192, share: float = 0.85) -> Dat
     per = F.when(F.col("mean_sentences") > 0, F.col("mean_tokens") / F.col("mean_sentences"))
     m = m.withColumn("per_sentence", per)
     return m.withColumn("recommended", F.when(F.col("per_sentence") > 0, F.floor(budget * share / F.col("per_sentence"))).cast("long"))
+
+
+def usage_rows(answers: DataFrame) -> DataFrame:
+    """Answers (sc_id, n_sentences, prompt, raw, seconds, finish_reason) as rows of what they took, a token for each four characters."""
+    chars = {c: F.length(F.coalesce(F.col(c), F.lit(""))).cast("long") for c in ("prompt", "raw")}
+    tokens = {c: F.floor(n / 4).cast("long") for c, n in chars.items()}
+    return answers.select(
+        "sc_id", "n_sentences", chars["prompt"].alias("prompt_chars"), chars["raw"].alias("output_chars"), "finish_reason", F.round("seconds", 1).alias("elapsed_s"),
+        tokens["prompt"].alias("prompt_tokens"), tokens["raw"].alias("candidates_tokens"), (tokens["prompt"] + tokens["raw"]).alias("total_tokens"),
+    )

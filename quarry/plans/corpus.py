@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +31,9 @@ def query(sql: str | None = None):
 
 
 _S = """s as (
-    select conv_id as book_id, turn as para_id, i - 1 as line_id, ls[i] as pali, case when role = 'assistant' then ls[i] end as english
+    select conv_id as book_id, turn as para_id, i - 1 as line_id, ls[i] as pali, case when role = 'assistant' then ls[i] end as english,
+        case when role = 'system' then 'vi ' || ls[i] end as vietnamese, turn || '.' || (i - 1) as thaipage,
+        case when turn % 2 = 0 then 'v' || turn || '.' || (i - 1) end as vripage, cast(null as varchar) as ptspage
     from (select *, string_split(text, chr(10)) as ls from conversations) c, unnest(range(1, len(c.ls) + 1)) as t(i)
 )"""
 _LINKS = """l as (
@@ -83,7 +87,9 @@ def heading_paths(t):
 
 
 _PARA = """select book_id, para_id, coalesce(string_agg(pali, chr(10) order by line_id) filter (where pali <> ''), '') as pali,
-    coalesce(string_agg(english, chr(10) order by line_id) filter (where english <> ''), '') as english, count(*) as line_count
+    coalesce(string_agg(english, chr(10) order by line_id) filter (where english <> ''), '') as english,
+    coalesce(string_agg(vietnamese, chr(10) order by line_id) filter (where vietnamese <> ''), '') as vietnamese, count(*) as line_count,
+    coalesce(min(thaipage) filter (where line_id = 0), '') as thaipage, coalesce(min(vripage) filter (where line_id = 0), '') as vripage, '' as ptspage
     from s group by book_id, para_id"""
 
 
@@ -92,9 +98,12 @@ def get_paragraph(t):
     return P.get_paragraph(t.sentences(), "all")
 
 
-@query(f"with {_S} select book_id, para_id, coalesce(string_agg(trim(pali), chr(10) order by line_id) filter (where pali <> ''), '') as text from s where para_id between 1 and 3 group by 1, 2")
+_RANGE = ", ".join(f"coalesce(string_agg(trim({c}), chr(10) order by line_id) filter (where {c} <> ''), '') as {c}" for c in P.LANGUAGES)
+
+
+@query(f"with {_S} select book_id, para_id, {_RANGE}, count(*) as line_count from s where para_id between 1 and 3 group by 1, 2")
 def paragraph_range(t):
-    return P.paragraph_range(t.sentences(), 1, 3)
+    return P.paragraph_range(t.sentences(), 1, 3, "all")
 
 
 @query("select a.conv_id as book_id, a.turn as centre_id, b.turn as para_id, a.turn = b.turn as is_center, b.text from conversations a join conversations b on a.conv_id = b.conv_id and b.turn between a.turn - 2 and a.turn + 2 where a.role = 'assistant'")
@@ -103,10 +112,13 @@ def nearby_context(t):
     return P.nearby_context(c.drop("role"), c.filter("role = 'assistant'").select("book_id", "para_id")).select("book_id", "centre_id", "para_id", "is_center", "text")
 
 
-@query(f"with {_S}, b as (select distinct conv_id as book_id from conversations union all select -1) select b.book_id, count(distinct para_id) as paragraphs, count(s.line_id) as lines, min(para_id) as first_para, max(para_id) as last_para from b left join s on b.book_id = s.book_id group by b.book_id")
+@query(f"""with {_S}, b as (select distinct conv_id as book_id from conversations union all select -1),
+    n as (select b.book_id, count(distinct para_id) as paragraphs, count(s.line_id) as lines, min(para_id) as first_para, max(para_id) as last_para from b left join s on b.book_id = s.book_id group by b.book_id)
+    select n.*, coalesce(p_name, '') as book_name, coalesce(p_type, '') as nikaya, coalesce(p_brand, '') as sub_nikaya from n left join part on book_id = p_partkey""")
 def book_stats(t):
     ids = t.raw("conversations").select(F.col("conv_id").alias("book_id")).distinct()
-    return P.book_stats(t.sentences(), ids.unionByName(t.spark.range(1).select(F.lit(-1).cast("long").alias("book_id"))))
+    ids = ids.unionByName(t.spark.range(1).select(F.lit(-1).cast("long").alias("book_id")))
+    return P.book_stats(t.sentences(), ids.join(books(t), "book_id", "left"))
 
 
 @query(f"with {_S} select book_id, para_id, line_id, pali from s where english is null or trim(english) = ''")
@@ -119,6 +131,26 @@ def pending_headings(t):
     return C.pending_headings(t.headings(), t.sentences(), batch=50)
 
 
+_HEADS_ID = """hs as (select conv_id as book_id, turn as para_id, case when turn <= 1 and conv_id % 5 = 1 then '' when turn > 1 or conv_id % 5 > 1 then cast(conv_id + turn as varchar) end as sc_id
+    from conversations where role = 'user')"""
+_TODO = f"with {_S}, {_HEADS_ID} select h.book_id, h.para_id, 2 as chapter_len from hs h where exists (select 1 from s where s.book_id = h.book_id and s.para_id >= h.para_id and s.para_id < h.para_id + 2 and (english is null or trim(english) = ''))"
+
+
+@query(f"{_TODO} and sc_id <> '' order by 1, 2 limit 50")
+def pending_headings_with_ids(t):
+    return C.pending_headings(t.headings_with_ids(), t.sentences(), batch=50)
+
+
+@query(f"{_TODO} and sc_id <> '' and book_id = 3")
+def pending_headings_of_book(t):
+    return C.pending_headings(t.headings_with_ids(), t.sentences(), batch=None, book_id=3)
+
+
+@query(f"{_TODO} and sc_id = '7'")
+def pending_headings_of_sc(t):
+    return C.pending_headings(t.headings_with_ids(), t.sentences(), batch=None, sc_id="7")
+
+
 @query(f"with {_S}, {_HEADS} select h.book_id, h.para_id as head_id, count(distinct s.para_id) as paragraphs, count(*) as lines, count(*) filter (where english is null or trim(english) = '') as pending from h join s on s.book_id = h.book_id and s.para_id >= h.para_id and s.para_id < h.para_id + 2 group by 1, 2")
 def heading_workload(t):
     return C.heading_workload(t.headings(), t.sentences())
@@ -126,8 +158,7 @@ def heading_workload(t):
 
 @query("select o_orderkey as sc_id, coalesce(nullif(d.source, ''), cast(o_orderkey as varchar)) as sutta_name, coalesce(d.lang, '') as palitext, coalesce(d.text, '') as entext from orders left join documents d on o_orderkey = d.doc_id")
 def reference_lookup(t):
-    refs = t.raw("documents").select(F.col("doc_id").alias("sc_id"), F.col("source").alias("sutta_name"), F.col("lang").alias("palitext"), F.col("text").alias("entext"))
-    return C.reference_lookup(t.raw("orders").select(F.col("o_orderkey").alias("sc_id")), refs)
+    return C.reference_lookup(t.raw("orders").select(F.col("o_orderkey").alias("sc_id")), references(t, F.col("doc_id")))
 
 
 @query("select doc_id, cast(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) as bigint) as n_words from documents")
@@ -163,8 +194,7 @@ def glossary(t: DriverTables) -> DataFrame:
 
 @query(f"with {_S}, {_GLOSSARY}, w as (select book_id, para_id, line_id, [lower(x) for x in regexp_split_to_array(pali, '[\\s,;.‘’\"''()\\[\\]]+') if length(x) > 1] as w from s), g as (select distinct book_id, para_id, line_id, array_to_string(w[i:i + n - 1], ' ') as pali from w, unnest(range(1, 6)) as a(n), unnest(range(1, len(w) + 2 - n)) as b(i)) select book_id, para_id, line_id, pali, english from g join gl using (pali)")
 def glossary_overlap(t):
-    lines = t.sentences().select("book_id", "para_id", "line_id", T.ngrams(F.col("pali")).alias("grams"))
-    return C.overlap(lines, "grams", glossary(t), ["book_id", "para_id", "line_id"])
+    return C.gram_overlap(t.sentences(), "pali", glossary(t), ["book_id", "para_id", "line_id"])
 
 
 @query(f"with {_GLOSSARY}, w as (select conv_id, turn, unnest(list_distinct([lower(x) for x in {_PIECES} if length(x) > 2 and length(x) < 40])) as pali from conversations) select conv_id, turn, pali, english from w join gl using (pali)")
@@ -173,9 +203,11 @@ def glossary_overlap_tokens(t):
     return C.overlap(turns, "tokens", glossary(t), ["conv_id", "turn"])
 
 
-@query(f"""with {_S} select book_id, para_id, line_id, case (book_id + line_id) % 4 when 0 then 'p' || line_id || ': m' || para_id || ' | [Note: n]'
-    when 1 then 'plain ' || line_id when 2 then '(none)' else '[broken' end as gloss from s""")
-def gloss_alignment(t):
+_GLOSS = "case ({0}book_id + {0}line_id) % 4 when 0 then 'p' || {0}line_id || ': m' || {0}para_id || ' | [Note: n]' when 1 then 'plain ' || {0}line_id when 2 then '(none)' else '[broken' end"
+
+
+def glosses(t: DriverTables) -> DataFrame:
+    """Made-up glosses of two channels: JSON with a note, plain, broken, or none at all."""
     s = t.sentences()
     kind = (F.col("book_id") + F.col("line_id")) % 4
     content = (
@@ -185,7 +217,24 @@ def gloss_alignment(t):
     )
     new = s.select("book_id", "para_id", "line_id", content.alias("content"), F.lit("b").alias("channel_id"))
     old = s.select("book_id", "para_id", "line_id", F.lit("older").alias("content"), F.lit("a").alias("channel_id")).filter(kind != 2)
-    return C.gloss_alignment(s, new.filter("content is not null").unionByName(old))
+    return new.filter("content is not null").unionByName(old)
+
+
+@query(f"with {_S} select book_id, para_id, line_id, {_GLOSS.format('')} as gloss from s")
+def gloss_alignment(t):
+    return C.gloss_alignment(t.sentences(), glosses(t))
+
+
+def references(t: DriverTables, sc_id) -> DataFrame:
+    return t.raw("documents").select(sc_id.alias("sc_id"), F.col("source").alias("sutta_name"), F.col("lang").alias("palitext"), F.col("text").alias("entext"))
+
+
+@query(f"""with {_S}, {_HEADS_ID}, pl as (select hs.book_id, hs.para_id as head_id, sc_id, s.para_id, s.line_id, s.pali, {_GLOSS.format('s.')} as gloss, row_number() over (partition by hs.book_id, hs.para_id order by s.para_id, s.line_id) as nth
+    from hs join s on s.book_id = hs.book_id and s.para_id >= hs.para_id and s.para_id < hs.para_id + 2 where sc_id <> '' and (english is null or trim(english) = '')),
+    b as (select book_id, head_id, sc_id, count(*) as n_sentences, string_agg('[' || para_id || '/' || line_id || '] ' || pali || ' = ' || gloss, chr(10) order by nth) as block from pl where nth <= 10 group by 1, 2, 3)
+    select b.*, coalesce(nullif(source, ''), sc_id) as sutta_name, coalesce(lang, '') as palitext, coalesce(text, '') as entext from b left join documents on sc_id = cast(doc_id as varchar)""")
+def sampled_context(t):
+    return C.sampled_context(t.headings_with_ids(), t.sentences(), references(t, F.col("doc_id").cast("string")), glosses(t), 10)
 
 
 @query(f"with {_S}, {_LINKS} select distinct src_book as of_book, src_para as of_para, dst_book, dst_para, dst_line from l")
@@ -272,15 +321,15 @@ def previous_paragraph(t):
 
 
 def _reference_sql(most: int) -> str:
-    return f"""with x as (select doc_id, '[Pāli] ' || replace(trim(source || ' ' || lang || ' ' || text), 'ṁ', 'ṃ') as p, '[English] ' || trim(substr(text, 1, 300)) as e from documents),
+    return f"""with x as (select doc_id, '[Pāli] ' || replace(trim(source || ' ' || lang || ' ' || text, ' ' || chr(10)), 'ṁ', 'ṃ') as p, '[English] ' || trim(text, ' ' || chr(10)) as e from documents),
     y as (select *, {most} - length(e) - 2 as room from x)
     select doc_id, case when length(e) >= {most} or room <= 7 then '[Pāli] ... [truncated]' when length(p) > room then trim(substr(p, 1, greatest(7, room - 15)), ' ' || chr(10)) || ' … [truncated]' else p end || chr(10) || chr(10) || e as block from y"""
 
 
-@query(_reference_sql(500).replace("trim(substr(text, 1, 300))", "trim(substr(text, 1, 300), ' ' || chr(10))"))
+@query(_reference_sql(3000))
 def reference_block(t):
     d = t.raw("documents")
-    return d.select("doc_id", T.reference_block(F.concat_ws(" ", "source", "lang", "text"), F.substring("text", 1, 300), 500).alias("block"))
+    return d.select("doc_id", T.reference_block(F.concat_ws(" ", "source", "lang", "text"), F.col("text"), 3000).alias("block"))
 
 
 @query("""with recursive o as (select conv_id, turn, length(text) // 4 as t, row_number() over (partition by conv_id order by turn) as n from conversations),
@@ -368,22 +417,35 @@ def sample_headings(t):
     return sample_headings_of(t.headings(), "book_id", 30, 1)
 
 
+#: What a chunk's prompt holds; the wording is this library's own.
+PROMPT = """Translate the sentences of book {book_id}, heading {head_id}, part {chunk}.
+
+Known terms: {terms}. Words with a definition: {words}.
+
+Before this part:
+{previous}
+
+{commentary}
+
+Sentences:
+{sentences}
+"""
+
+
 def context_of(t: DriverTables, budget: int = 1000, chunk_tokens: int = 150) -> DataFrame:
-    """One row per pending heading and chunk of its paragraphs, with all of its context and the assembled prompt body."""
+    """One row per pending heading and chunk of its paragraphs, with all of its context and the prompt that holds it."""
     s = t.sentences()
     heads = C.pending_headings(t.headings(), s, batch=None).select("book_id", F.col("para_id").alias("head_id"))
     paras = C.chapter_paragraphs(t.headings()).join(heads, ["book_id", "head_id"], "left_semi")
     text = P.get_paragraph(s, "all").select("book_id", "para_id", "pali", "english")
     work = paras.join(text, ["book_id", "para_id"]).withColumn("tokens", T.est_tokens(F.col("pali")))
-    group = F.struct("book_id", "head_id")
-    chunked = P.chunk_paragraphs(work.withColumn("g", group), chunk_tokens, group="g").select("g.*", "para_id", "chunk")
+    chunked = P.chunk_paragraphs(work, chunk_tokens, group=("book_id", "head_id")).drop("tokens")
     src = paras.select(F.col("book_id").alias("of_book"), F.col("head_id").alias("of_head"), "book_id", "para_id").join(s.select("book_id", "para_id", "line_id"), ["book_id", "para_id"])
     targets = C.linked_targets(src.select("of_book", "of_head", "book_id", "para_id", "line_id"), t.links())
     comm = C.commentary_tiered(heads.select(F.col("book_id").alias("of_book"), F.col("head_id").alias("of_head")), targets, s, budget)
     # entries are counted per term first, so a term joins once however many entries it has
-    grams = work.select("book_id", "head_id", F.explode(T.ngrams(F.col("pali"))).alias("pali")).distinct()
     entries = glossary(t).distinct().groupBy("pali").agg(F.count("*").alias("n"))
-    terms = grams.join(entries, "pali").groupBy("book_id", "head_id").agg(F.sum("n").alias("terms"))
+    terms = C.gram_overlap(work, "pali", entries, ["book_id", "head_id"]).groupBy("book_id", "head_id").agg(F.sum("n").alias("terms"))
     defs = C.definition_lookup(work, ["book_id", "head_id", "para_id"], "pali", *definitions(t)).groupBy("book_id", "head_id").agg(F.countDistinct("word").alias("words"))
     previous = P.previous_paragraph(text).select("book_id", F.col("para_id").alias("first_para"), "previous")
     lines = chunked.join(s, ["book_id", "para_id"])
@@ -392,13 +454,19 @@ def context_of(t: DriverTables, budget: int = 1000, chunk_tokens: int = 150) ->
     body = lines.groupBy("book_id", "head_id", "chunk").agg(
         F.min("para_id").alias("first_para"), F.count("*").alias("lines"), F.count_if(todo).alias("pending"), F.to_json(F.array_sort(F.collect_list(item))).alias("sentences")
     )
-    return (
+    bundle = (
         body.join(previous, ["book_id", "first_para"], "left")
         .join(comm.select(F.col("of_book").alias("book_id"), F.col("of_head").alias("head_id"), "commentary", "tier"), ["book_id", "head_id"])
         .join(terms, ["book_id", "head_id"], "left")
         .join(defs, ["book_id", "head_id"], "left")
         .na.fill(0, ["terms", "words"])
     )
+    return bundle.withColumn("prompt", T.filled(PROMPT, {c: F.col(c) for c in bundle.columns}))
+
+
+def _filled_sql(template: str) -> str:
+    parts = re.split(r"\{(\w+)\}", template)
+    return " || ".join(x if i % 2 else "'" + x.replace("'", "''") + "'" for i, x in enumerate(parts))
 
 
 _BUNDLE = f"""with recursive {_S}, {_LINKS}, {_HEADS}, {_GLOSSARY}, {_DEFS},
@@ -407,7 +475,8 @@ _BUNDLE = f"""with recursive {_S}, {_LINKS}, {_HEADS}, {_GLOSSARY}, {_DEFS},
     w as (select hp.*, length(text) // 4 as t, row_number() over (partition by book_id, head_id order by para_id) as n from hp join pend using (book_id, head_id)),
     r as (select book_id, head_id, para_id, n, t as cur, 0 as chunk from w where n = 1 union all select w.book_id, w.head_id, w.para_id, w.n, case when r.cur + w.t > 150 then w.t else r.cur + w.t end, case when r.cur + w.t > 150 then r.chunk + 1 else r.chunk end
         from r join w on w.book_id = r.book_id and w.head_id = r.head_id and w.n = r.n + 1),
-    body as (select r.book_id, r.head_id, r.chunk, min(r.para_id) as first_para, count(*) as lines, count(*) filter (where s.english is null) as pending from r join s on s.book_id = r.book_id and s.para_id = r.para_id group by 1, 2, 3),
+    body as (select r.book_id, r.head_id, r.chunk, min(r.para_id) as first_para, count(*) as lines, count(*) filter (where s.english is null) as pending,
+        coalesce(to_json(list(struct_pack(para_id := s.para_id, line_id := s.line_id, pali := s.pali) order by s.para_id, s.line_id) filter (where s.english is null)), '[]') as sentences from r join s on s.book_id = r.book_id and s.para_id = r.para_id group by 1, 2, 3),
     tg as (select distinct w.book_id as of_book, w.head_id as of_para, dst_book, dst_para, dst_line from w join l on l.src_book = w.book_id and l.src_para = w.para_id),
     {", ".join(map(_commentary_sql, C.LABELS))},
     cm as (select p.book_id, p.head_id, coalesce(a.text, '') as a, coalesce(b.text, '') as b, coalesce(e.text, '') as e from pend p left join full_t a on a.of_book = p.book_id and a.of_para = p.head_id
@@ -417,13 +486,13 @@ _BUNDLE = f"""with recursive {_S}, {_LINKS}, {_HEADS}, {_GLOSSARY}, {_DEFS},
     dw as (select book_id, head_id, para_id, list_distinct([lower(x) for x in regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_ऀ-ॿ]{{5,}}')]) as d, [lower(x) for x in regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_ऀ-ॿ]{{5,}}')] as aw from w),
     dn as (select book_id, head_id, x as word, row_number() over (partition by book_id, head_id, para_id order by list_position(aw, x)) as k from dw, unnest(d) as u(x)),
     wd as (select book_id, head_id, count(distinct word) as words from dn join us using (word) where k <= 30 group by 1, 2)
-    select body.book_id, body.head_id, cast(chunk as bigint) as chunk, first_para, lines, pending, coalesce(pv.text, '') as previous,
+    select *, {_filled_sql(PROMPT)} as prompt from (select body.book_id, body.head_id, cast(chunk as bigint) as chunk, first_para, lines, pending, cast(sentences as varchar) as sentences, coalesce(pv.text, '') as previous,
         cast(case when length(a) <= 1000 then 1 when length(b) <= 1000 then 2 else 3 end as integer) as tier,
         coalesce(nullif(case when length(a) <= 1000 then a when length(b) <= 1000 then b else e end, ''), '{C.NO_COMMENTARY}') as commentary, coalesce(terms, 0) as terms, coalesce(words, 0) as words
     from body join cm using (book_id, head_id) left join tm using (book_id, head_id) left join wd using (book_id, head_id)
-    left join conversations pv on pv.conv_id = body.book_id and pv.turn = first_para - 1 and pv.role = 'assistant'"""
+    left join conversations pv on pv.conv_id = body.book_id and pv.turn = first_para - 1 and pv.role = 'assistant')"""
 
 
 @query(_BUNDLE)
 def context_bundle(t):
-    return context_of(t).drop("sentences")
+    return context_of(t)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from quarry.functions import parsing
 from quarry.functions import text as T
+from quarry.operators import context as C
 from quarry.operators import merge as M
+from quarry.operators import paragraphs as P
 from quarry.operators import tasks as K
 from quarry.sources.catalog import DriverTables
 
@@ -28,7 +30,7 @@ def query(sql: str | None = None):
 
 
 _TASKS = f"""tk as (select o_orderkey as id, 'job' || o_orderkey % 3 as job_type, case o_orderstatus when 'P' then 'pending' when 'O' then 'running' else case when o_orderkey % 2 = 0 then 'done' else 'failed' end end as status,
-    cast(substr(o_orderpriority, 1, 1) as integer) as priority, o_custkey as api_key_id, epoch(o_orderdate) as created_at, epoch(o_orderdate) as started_at,
+    cast(substr(o_orderpriority, 1, 1) as integer) as priority, case when o_orderkey % 4 <> 1 then o_custkey end as api_key_id, epoch(o_orderdate) as created_at, epoch(o_orderdate) as started_at,
     case when o_orderkey % 3 = 0 then epoch(o_orderdate) + 60 * (o_orderkey % 50) end as heartbeat_at, case when o_orderkey % 4 = 0 then epoch(o_orderdate) + 1000 * (o_orderkey % 100000) end as run_after,
     cast(o_orderkey % 3 as integer) as max_retries, 1800 as retry_delay, case when o_orderkey % 5 < 2 then 'HTTP 503 Service Unavailable' when o_orderkey % 5 = 2 then 'Quota exceeded' else 'bad value' end as error_msg from orders),
     now as (select {NOW} as t)"""
@@ -43,7 +45,7 @@ def tasks(t: DriverTables) -> DataFrame:
         F.concat(F.lit("job"), k % 3).alias("job_type"),
         F.when(F.col("o_orderstatus") == "P", "pending").when(F.col("o_orderstatus") == "O", "running").otherwise(done).alias("status"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
-        F.col("o_custkey").alias("api_key_id"),
+        F.when(k % 4 != 1, F.col("o_custkey")).alias("api_key_id"),
         at.alias("created_at"),
         at.alias("started_at"),
         F.when(k % 3 == 0, at + 60 * (k % 50)).alias("heartbeat_at"),
@@ -109,9 +111,9 @@ def task_status_counts(t):
     return K.status_counts(tasks(t))
 
 
-@query(f"with {_TASKS}, {_KEYS} select tk.id, status, alias from tk left join ky on api_key_id = ky.id and ky.id % 2 = 0")
+@query(f"with {_TASKS}, {_KEYS} select tk.id, status, alias from tk left join ky on api_key_id = ky.id")
 def task_with_key(t):
-    k = keys(t).filter("id % 2 = 0").select(F.col("id").alias("key_id"), "alias")
+    k = keys(t).select(F.col("id").alias("key_id"), "alias")
     return tasks(t).join(k, F.col("api_key_id") == F.col("key_id"), "left").select("id", "status", "alias")
 
 
@@ -140,35 +142,33 @@ _AGO = f"({NOW} - started_at)"
     case when {_AGO} < 60 then cast(floor({_AGO} + 0.5) as bigint) || 's ago' when {_AGO} < 3600 then cast(floor({_AGO} / 60 + 0.5) as bigint) || 'm ago' when {_AGO} < 86400 then cast(floor({_AGO} / 3600 + 0.5) as bigint) || 'h ago' else cast(floor({_AGO} / 86400 + 0.5) as bigint) || 'd ago' end as ago from tk""")
 def task_durations(t):
     d = K.durations(F.col("started_at"), F.col("heartbeat_at"), NOW)
-    started = F.date_format(F.timestamp_seconds("started_at"), "yyyy-MM-dd HH:mm:ss").alias("started")
+    started = T.local_time(F.col("started_at")).alias("started")
     return tasks(t).select("id", started, *(v.alias(n) for n, v in d.items()))
 
 
-@query(f"with {_TASKS} select id, case when status in ('pending', 'running') then 'cancelled' else status end as status, 'cancel' as action from tk where id % 2 = 0 union all select id, 'pending', 'retry' from tk where status in ('failed', 'done') and id % 3 = 0")
+@query(f"with {_TASKS} select id, case when status in ('pending', 'running') then 'cancelled' else status end as status, 'cancel' as action from tk union all select id, 'pending', 'retry' from tk where status in ('failed', 'done')")
 def task_transitions(t):
     k = tasks(t)
-    cancel = k.filter("id % 2 = 0").select("id", K.cancelled(F.col("status")).alias("status"), F.lit("cancel").alias("action"))
-    again = K.retried(k.filter("status in ('failed', 'done') and id % 3 = 0"))
+    cancel = k.select("id", K.cancelled(F.col("status")).alias("status"), F.lit("cancel").alias("action"))
+    again = K.retried(k.filter("status in ('failed', 'done')"))
     return cancel.unionByName(again.select(F.col("of_id").alias("id"), "status", F.lit("retry").alias("action")))
 
 
 _STATES = "case event_type when 'purchase' then 'done' when 'error' then 'failed' when 'logout' then 'cancelled' else 'running' end"
 
 
-@query(f"with e as (select user_id, event_id, ts, {_STATES} as state from events), r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from e) select user_id as task_id, state, case when state in ('done', 'failed', 'cancelled') then cast(epoch_us(ts) as bigint) end as finished_at from r where n = 1")
+@query(f"with e as (select user_id, event_id, ts, event_type, props, {_STATES} as state from events), r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from e) select user_id as task_id, state, case when state in ('done', 'failed', 'cancelled') then cast(epoch_us(ts) as bigint) end as finished_at, case when state in ('done', 'failed', 'cancelled') and event_type = 'error' then props end as error_msg from r where n = 1")
 def task_state(t):
     state = F.when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "logout", "cancelled").otherwise("running")
-    e = events(t).select(F.col("user_id").alias("task_id"), "event_id", F.unix_micros("ts").alias("ts"), state.alias("state"))
+    e = events(t).select(F.col("user_id").alias("task_id"), "event_id", F.unix_micros("ts").alias("ts"), state.alias("state"), F.when(F.col("event_type") == "error", F.col("props")).alias("error"))
     return K.current_state(e)
 
 
-@query(f"with {_TASKS}, gone as (select id from tk where id % 10 = 0 and status in ('done', 'failed', 'cancelled')), lg as (select event_id, user_id as task_id from events) select 'task' as kind, count(*) as n from tk where id not in (select id from gone) union all select 'log', count(*) from lg where task_id not in (select id from gone)")
+@query(f"with {_TASKS}, gone as (select id from tk where id in (select s_suppkey from supplier) and status in ('done', 'failed', 'cancelled')) select 'task' as kind, id from tk where id not in (select id from gone) union all select 'log', event_id from events where user_id not in (select id from gone)")
 def cascade_delete(t):
-    k = tasks(t)
     logs = t.raw("events").select("event_id", F.col("user_id").alias("task_id"))
-    left, entries = M.cascade_delete(k, logs, k.filter("id % 10 = 0").select("id"))
-    count = lambda df, kind: df.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
-    return count(left, "task").unionByName(count(entries, "log"))
+    left, entries = M.cascade_delete(tasks(t), logs, t.raw("supplier").select(F.col("s_suppkey").alias("id")))
+    return left.select(F.lit("task").alias("kind"), "id").unionByName(entries.select(F.lit("log").alias("kind"), F.col("event_id").alias("id")))
 
 
 @query("select user_id as key_id, count(*) as total_calls, count(*) filter (where event_type = 'error') as total_errors from events group by 1")
@@ -203,27 +203,37 @@ def settings_merge(t):
     return settings(t)
 
 
+@query("with s as (select cast(user_id as varchar) as key, max_by(event_type, event_id) as value from events group by 1) select * from s union all select cast(c_custkey as varchar), c_mktsegment from customer where cast(c_custkey as varchar) not in (select key from s)")
+def settings_defaults(t):
+    defaults = t.raw("customer").select(F.col("c_custkey").cast("string").alias("key"), F.col("c_mktsegment").alias("value"))
+    return M.with_defaults(settings(t), defaults, ["key"])
+
+
 @query("select user_id, event_id, event_type from events where user_id = 7 and event_id > 100 order by event_id")
 def log_tail(t):
     logs = t.raw("events").select(F.col("event_id").alias("id"), F.col("user_id").alias("task_id"), "event_type")
     return K.log_tail(logs, 7, 100).select(F.col("task_id").alias("user_id"), F.col("id").alias("event_id"), "event_type")
 
 
-_GAPS = "g as (select event_id, (epoch_us(ts) - epoch_us(lag(ts) over (order by ts, event_id))) / 1e6 as gap_s from events)"
+def _gaps_sql(of: str) -> str:
+    return f"with g as (select event_id, {of}, (epoch_us(ts) - epoch_us(lag(ts) over (partition by {of} order by ts, event_id))) / 1e6 as gap_s from events)"
 
 
-@query(f"with {_GAPS} select event_id, round(gap_s, 3) as gap_s from g where gap_s > 300")
-def silent_gaps(t):
-    return gaps(t).filter("gap_s > 300").select("event_id", F.round("gap_s", 3).alias("gap_s"))
+def gaps(t: DriverTables, of: str) -> DataFrame:
+    return K.gaps(events(t).select("event_id", of, "ts"), "ts", of, "event_id")
 
 
-@query(f"with {_GAPS} select event_id, round(gap_s, 3) as gap_s from g where gap_s < 4")
-def throttle_check(t):
-    return gaps(t).filter("gap_s < 4").select("event_id", F.round("gap_s", 3).alias("gap_s"))
+@query(f"{_gaps_sql('user_id')} select event_id, user_id as task_id, round(gap_s, 3) as gap_s from g where gap_s > 300")
+def silent_gaps(t):
+    """Tasks of which nothing was heard for five minutes."""
+    return gaps(t, "user_id").filter("gap_s > 300").select("event_id", F.col("user_id").alias("task_id"), F.round("gap_s", 3).alias("gap_s"))
 
 
-def gaps(t: DriverTables) -> DataFrame:
-    return K.gaps(events(t).select("event_id", "ts"), "ts", "event_id")
+@query(f"{_gaps_sql('event_type')} select event_id, event_type as key_id, round(gap_s, 3) as gap_s, round(4 - gap_s, 3) as wait_s from g where gap_s < 4")
+def throttle_check(t):
+    """Calls that came sooner after the same key's last one than 15 a minute allow, and how long they had to wait."""
+    wait = F.round(4 - F.col("gap_s"), 3).alias("wait_s")
+    return gaps(t, "event_type").filter("gap_s < 4").select("event_id", F.col("event_type").alias("key_id"), F.round("gap_s", 3).alias("gap_s"), wait)
 
 
 @query("select user_id as key_id, cast(ts as date) as day, count(*) as used, greatest(0, 1500 - count(*)) as remaining, count(*) >= 1500 as exhausted from events group by 1, 2")
@@ -231,6 +241,64 @@ def quota_status(t):
     return K.quota(events(t).select(F.col("user_id").alias("key_id"), F.to_date("ts").alias("day")))
 
 
+_POOL = "q as (select user_id, cast(ts as date) as day, count(*) >= 3 as exhausted from events group by 1, 2)"
+
+
+@query(f"with {_POOL} select day, count(*) as keys, count(*) filter (where not exhausted) as available, count(*) filter (where not exhausted) = 0 as all_exhausted from q group by 1")
+def pool_exhausted(t):
+    calls = events(t).select(F.col("user_id").alias("key_id"), F.to_date("ts").alias("day"))
+    return K.pool_state(K.quota(calls, per_day=3))
+
+
+_WHAT = "case event_type when 'view' then 'call' when 'click' then 'error' when 'error' then 'exhausted' when 'purchase' then case when value > 50 then 'off' else 'on' end else case when event_id % 3 = 0 then 'delete' else 'cleared' end end"
+
+
+@query(f"""with e as (select user_id, event_id, epoch_us(ts) as ts, {_WHAT} as what from events), m as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n,
+    row_number() over (partition by user_id, what in ('exhausted', 'cleared') order by ts desc, event_id desc) as x, row_number() over (partition by user_id, what in ('on', 'off') order by ts desc, event_id desc) as o from e)
+    select user_id as key_id, count(*) filter (where what = 'call') as total_calls, count(*) filter (where what in ('error', 'exhausted')) as total_errors,
+        max(case when x = 1 and what = 'exhausted' then ts end) as exhausted_at, cast(coalesce(min(case when o = 1 and what in ('on', 'off') then case what when 'on' then 1 else 0 end end), 1) as integer) as is_active
+    from m group by 1 having max(case when n = 1 and what = 'delete' then 1 else 0 end) = 0""")
+def key_flags(t):
+    kind, odd = F.col("event_type"), F.col("event_id") % 3 == 0
+    what = F.when(kind == "view", "call").when(kind == "click", "error").when(kind == "error", "exhausted")
+    what = what.when(kind == "purchase", F.when(F.col("value") > 50, "off").otherwise("on")).otherwise(F.when(odd, "delete").otherwise("cleared"))
+    return K.key_flags(events(t).select(F.col("user_id").alias("key_id"), F.unix_micros("ts").alias("ts"), "event_id", what.alias("what")))
+
+
+_ALLOWED = "3, 9,12 , 40,1000"
+
+
+@query(f"with {_KEYS} select id, provider from ky where is_active = 1 and exhausted_at is null and id in (select cast(trim(x) as bigint) from (select unnest(string_split('{_ALLOWED}', ',')) as x))")
+def allowed_keys(t):
+    allowed = t.spark.range(1).select(T.id_list(F.lit(_ALLOWED)).alias("ids")).first().ids
+    return K.usable_keys(keys(t), allowed=allowed).select("id", "provider")
+
+
+@query(f"with {_KEYS} select id, provider, cast(null as double) as exhausted_at from ky")
+def model_change(t):
+    return K.after_model_change(keys(t), "old model", "new model").select("id", "provider", "exhausted_at")
+
+
+@query(f"with {_TASKS} select id, priority, created_at from tk, now where status = 'pending' and (run_after is null or run_after <= t) order by priority, created_at, id limit (select greatest(0, 8000 - count(*)) from tk where status = 'running')")
+def startable_tasks(t):
+    return K.startable(tasks(t), NOW, 8000).select("id", "priority", "created_at")
+
+
+@query(f"""with {_TASKS}, j as (select job_type, count(*) filter (where status in ('done', 'failed')) as done, count(*) as total, {NOW} - min(created_at) as elapsed from tk group by 1)
+    select job_type, done / total * 100 as percent, done / elapsed as rate, case when done > 0 and done < total then cast(floor((total - done) / (done / elapsed)) as bigint) end as left_s from j""")
+def job_progress(t):
+    ended = F.count_if(F.col("status").isin("done", "failed"))
+    jobs = tasks(t).groupBy("job_type").agg(ended.alias("done"), F.count("*").alias("total"), (F.lit(NOW) - F.min("created_at")).alias("elapsed"))
+    return jobs.select("job_type", *(v.alias(k) for k, v in K.progress(F.col("done"), F.col("total"), F.col("elapsed")).items()))
+
+
+@query("select cast(conv_id as varchar) as sc_id, 1 as n_sentences, length(text) as prompt_chars, length(role) as output_chars, 'STOP' as finish_reason, 0.5 as elapsed_s, length(text) // 4 as prompt_tokens, length(role) // 4 as candidates_tokens, length(text) // 4 + length(role) // 4 as total_tokens from conversations")
+def usage_rows(t):
+    c = t.raw("conversations")
+    made = c.select(F.col("conv_id").cast("string").alias("sc_id"), F.lit(1).alias("n_sentences"), F.col("text").alias("prompt"), F.col("role").alias("raw"), F.lit(0.51).alias("seconds"), F.lit("STOP").alias("finish_reason"))
+    return K.usage_rows(made)
+
+
 # --- merges ---
 
 
@@ -253,16 +321,36 @@ def mapping(t: DriverTables) -> DataFrame:
     return t.raw("events").select(para.alias("para"), F.when(e % 5 != 0, F.col("user_id").cast("string")).alias("sc_id"))
 
 
-@query(f"with {_MAP} select para, case when sc_id in (select cast(c_custkey as varchar) from customer where c_custkey % 2 = 0) then sc_id end as sc_id from m where regexp_matches(para, '^-*[0-9]+$')")
+@query(f"with {_MAP} select para, case when sc_id in (select cast(s_suppkey as varchar) from supplier) then sc_id end as sc_id from m where regexp_matches(para, '^-*[0-9]+$')")
 def validate_mapping(t):
-    valid = t.raw("customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("sc_id"))
+    return valid_mapping(t)
+
+
+def valid_mapping(t: DriverTables) -> DataFrame:
+    valid = t.raw("supplier").select(F.col("s_suppkey").cast("string").alias("sc_id"))
     return M.validate_mapping(mapping(t), valid, "para", "sc_id").select("para", "sc_id")
 
 
-@query("""with u as (select user_id as p_partkey, max_by(event_type, event_id) as v from events where event_type <> 'click' group by 1)
+@query(f"""with {_MAP}, v as (select para, case when sc_id in (select cast(s_suppkey as varchar) from supplier) then sc_id end as sc_id from m where regexp_matches(para, '^-*[0-9]+$')),
+    a as (select cast(p_partkey as varchar) as para, (row_number() over (order by p_partkey) - 1) // 150 as batch from part) select para, batch, sc_id from a full join v using (para)""")
+def filled_mapping(t):
+    return M.with_omitted(valid_mapping(t), asked_parts(t), ["para"], "sc_id", ["batch"])
+
+
+def asked_parts(t: DriverTables) -> DataFrame:
+    return P.fixed_batches(t.raw("part").select("p_partkey"), "p_partkey", 150).select(F.col("p_partkey").cast("string").alias("para"), "batch")
+
+
+@query(f"""with {_MAP}, v as (select para, case when sc_id in (select cast(s_suppkey as varchar) from supplier) then sc_id end as sc_id from m where regexp_matches(para, '^-*[0-9]+$')),
+    a as (select cast(p_partkey as varchar) as para, (row_number() over (order by p_partkey) - 1) // 150 as batch from part) select batch, count(*) as asked, count(sc_id) as mapped from a full join v using (para) group by 1""")
+def mapping_chunks(t):
+    return M.mapped_counts(M.with_omitted(valid_mapping(t), asked_parts(t), ["para"], "sc_id", ["batch"]), ["batch"], "sc_id")
+
+
+@query("""with u as (select user_id as p_partkey, max_by(event_type, event_id) as v from events group by 1)
     select p_partkey, coalesce(u.v, p_name) as p_name, u.v is not null as updated from part left join u using (p_partkey)""")
 def apply_mapping(t):
-    updates = t.raw("events").filter("event_type <> 'click'").select(F.col("user_id").alias("p_partkey"), F.col("event_type").alias("p_name"), F.col("event_id").alias("seq"))
+    updates = t.raw("events").select(F.col("user_id").alias("p_partkey"), F.col("event_type").alias("p_name"), F.col("event_id").alias("seq"))
     return M.apply_updates(t.raw("part").select("p_partkey", "p_name"), updates, ["p_partkey"], "p_name", "seq")
 
 
@@ -275,27 +363,21 @@ def apply_translations(t):
     return M.apply_updates(c.select("conv_id", "turn", "text"), updates, ["conv_id", "turn"], "text", "seq")
 
 
-@query("select s_suppkey, s_name, c_custkey, c_name, s_nationkey as nationkey from (select * from supplier where s_acctbal > 5000) join customer on s_nationkey = c_nationkey")
+@query("select s_suppkey, s_name, c_custkey, c_name, s_nationkey as nationkey from supplier join customer on s_nationkey = c_nationkey")
 def mapping_candidates(t):
-    s = t.raw("supplier").filter("s_acctbal > 5000").select("s_suppkey", "s_name", F.col("s_nationkey").alias("nationkey"))
+    s = t.raw("supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("nationkey"))
     c = t.raw("customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("nationkey"))
     return M.mapping_candidates(s, c, "nationkey")
 
 
-_NEW = """n as (select trim(pali, ' ' || chr(10)) as pali, trim(english, ' ') as english, doc_id from (select doc_id, substr(text, 1, 12) as pali, lang as english from documents where doc_id % 9 <> 0 union all select doc_id, '  ', lang from documents where doc_id % 9 = 0)),
-    f as (select pali, english, min(doc_id) as doc_id from n where pali <> '' group by 1, 2), g as (select distinct trim(substr(text, 1, 12), ' ' || chr(10)) as pali, lang as english from documents where doc_id % 4 = 0 and doc_id % 9 <> 0)"""
-
-
-def new_terms(t: DriverTables) -> DataFrame:
-    return t.raw("documents").select(
-        F.when(F.col("doc_id") % 9 != 0, F.substring("text", 1, 12)).otherwise("  ").alias("pali"), F.col("lang").alias("english"), "doc_id"
-    )
+_TOKENS = "unnest(list_distinct([lower(x) for x in regexp_split_to_array(text, '[\\s,;.‘’\"''()\\[\\]]+') if length(x) > 2 and length(x) < 40]))"
 
 
-@query(f"with {_NEW} select pali, english, doc_id from f anti join g using (pali, english)")
+@query(f"with f as (select pali, english, min(seq) as seq from (select {_TOKENS} as pali, role as english, conv_id * 1000 + turn as seq from conversations) group by 1, 2), g as (select distinct {_TOKENS} as pali, 'user' as english from benchmark) select pali, english, seq from f anti join g using (pali, english)")
 def glossary_upsert(t):
-    have = t.raw("documents").filter("doc_id % 4 = 0 and doc_id % 9 <> 0").select(T.strip_ws(F.substring("text", 1, 12)).alias("pali"), F.col("lang").alias("english")).distinct()
-    return M.insert_if_absent(have, new_terms(t), ["pali", "english"], "doc_id")
+    terms = lambda table, *more: t.raw(table).select(F.explode(T.tokens(F.col("text"))).alias("pali"), *more)
+    new = terms("conversations", F.col("role").alias("english"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
+    return M.insert_if_absent(terms("benchmark", F.lit("user").alias("english")).distinct(), new, ["pali", "english"], "seq")
 
 
 # --- model output; a stub stands for the model ---
@@ -353,9 +435,16 @@ def translit(t):
     return t.raw("part").select("p_partkey", T.roman_fixups(F.concat("p_name", F.lit("ïŏ"))).alias("roman"))
 
 
-@query(f"""with {_NEW}, a as (select item_id, 'p' || item_id as pali, 'e}}' || item_id as english from benchmark where item_id % 5 <> 4 union all select item_id, 'q' || item_id, 'f' || item_id from benchmark where item_id % 5 not in (2, 4))
-    select pali, english, item_id from a where item_id % 2 = 1 or pali like 'q%'""")
+@query(f"""with a as (select item_id, 'p' || item_id as pali, 'e}}' || item_id as english from benchmark where item_id % 5 <> 4 union all select item_id, 'q' || item_id, 'f' || item_id from benchmark where item_id % 5 not in (2, 4)),
+    h as (select 'p' || n_nationkey as pali, 'e}}' || n_nationkey as english from nation), w as (select item_id, {_TOKENS} as word from benchmark),
+    k as (select item_id, string_agg(word, ', ' order by word) as known from w where word in (select lower(n_name) from nation union select lower(r_name) from region union select 'the') group by 1)
+    select a.pali, a.english, a.item_id, coalesce(known, '') as known from a anti join h using (pali, english) left join k on a.item_id = k.item_id""")
 def glossary_build(t):
-    have = t.raw("benchmark").filter("item_id % 2 = 0").select(F.format_string("p%d", "item_id").alias("pali"), F.format_string("e}%d", "item_id").alias("english"))
+    """Each text's known terms go with it to the model; of its answers those are kept that the glossary lacks."""
+    heads = t.raw("nation").select(F.lower("n_name").alias("pali")).union(t.raw("region").select(F.lower("r_name"))).union(t.spark.range(1).select(F.lit("the"))).distinct()
+    words = t.raw("benchmark").select("item_id", T.tokens(F.col("text")).alias("words"))
+    known = C.overlap(words, "words", heads, ["item_id"]).groupBy("item_id").agg(F.array_join(F.array_sort(F.collect_set("pali")), ", ").alias("known"))
+    have = t.raw("nation").select(F.format_string("p%d", "n_nationkey").alias("pali"), F.format_string("e}%d", "n_nationkey").alias("english"))
     found = answers(t).select("item_id", F.inline(parsing.json_salvage("raw"))).select("pali", "english", "item_id")
-    return M.insert_if_absent(have, found, ["pali", "english"], "item_id")
+    new = M.insert_if_absent(have, found, ["pali", "english"], "item_id")
+    return new.join(known, "item_id", "left").select("pali", "english", "item_id", F.coalesce("known", F.lit("")).alias("known"))

@@ -14,7 +14,7 @@ from quarry.operators import search as S
 
 @dataclass(frozen=True)
 class Param:
-    kind: type
+    kind: type | tuple[type, ...]
     required: bool = False
     choices: tuple[str, ...] = ()
 
@@ -26,16 +26,16 @@ class Tool:
     params: dict[str, Param]
 
 
-LANGUAGE = Param(str, choices=("pali", "english", "all"))
-_BOOK, _PARA = Param(int, required=True), Param(int, required=True)
+LANGUAGE = Param(str, choices=(*P.LANGUAGES, "all"))
+_BOOK, _PARA = Param((int, str), required=True), Param(int, required=True)
 
 
 def _of(df: DataFrame, book_id, **more) -> DataFrame:
     return df.filter(F.col("book_id") == book_id)
 
 
-def _nearby(sentences: DataFrame, book_id, para_id, before=None, after=None) -> DataFrame:
-    paras = P.get_paragraph(_of(sentences, book_id), "all")
+def _nearby(sentences: DataFrame, book_id, para_id, before=None, after=None, language="english") -> DataFrame:
+    paras = P.get_paragraph(_of(sentences, book_id), language)
     centre = sentences.sparkSession.range(1).select(F.lit(book_id).alias("book_id"), F.lit(para_id).cast("long").alias("para_id"))
     return P.nearby_context(paras, centre, before, after).orderBy("para_id")
 
@@ -52,20 +52,22 @@ TOOLS = {
         {"book_id": _BOOK, "para_id": _PARA, "language": LANGUAGE},
     ),
     "get_paragraph_range": Tool(
-        lambda sentences, book_id, para_start, para_end: P.paragraph_range(_of(sentences, book_id), para_start, para_end).orderBy("para_id"),
+        lambda sentences, book_id, para_start, para_end, language="english": P.paragraph_range(_of(sentences, book_id), para_start, para_end, language).orderBy("para_id"),
         ("sentences",),
-        {"book_id": _BOOK, "para_start": _PARA, "para_end": _PARA},
+        {"book_id": _BOOK, "para_start": _PARA, "para_end": _PARA, "language": LANGUAGE},
     ),
-    "get_nearby_context": Tool(_nearby, ("sentences",), {"book_id": _BOOK, "para_id": _PARA, "before": Param(int), "after": Param(int)}),
+    "get_nearby_context": Tool(_nearby, ("sentences",), {"book_id": _BOOK, "para_id": _PARA, "before": Param(int), "after": Param(int), "language": LANGUAGE}),
     "get_book_stats": Tool(
-        lambda sentences, book_id: P.book_stats(_of(sentences, book_id), sentences.sparkSession.range(1).select(F.lit(book_id).alias("book_id"))),
-        ("sentences",),
+        lambda sentences, books, book_id: P.book_stats(
+            _of(sentences, book_id), sentences.sparkSession.range(1).select(F.lit(book_id).alias("book_id")).join(_of(books, book_id), "book_id", "left")
+        ),
+        ("sentences", "books"),
         {"book_id": _BOOK},
     ),
     "find_paragraphs_by_keyword": Tool(
         lambda sentences, keyword, book_id=None, column="english", limit=None: S.keyword_search(sentences, keyword, column, book_id, limit),
         ("sentences",),
-        {"keyword": Param(str, required=True), "book_id": Param(int), "column": Param(str, choices=("pali", "english")), "limit": Param(int)},
+        {"keyword": Param(str, required=True), "book_id": Param((int, str)), "column": Param(str, choices=P.LANGUAGES), "limit": Param(int)},
     ),
 }
 
@@ -93,3 +95,20 @@ def call(name: str, args: dict, tables: dict[str, DataFrame], most: int = 1000)
     except (ValueError, KeyError) as e:
         return {"error": str(e)}
     return {"rows": rows, "count": len(rows)}
+
+
+def converse(model: Callable[[list[dict]], dict], prompt: str, tables: dict[str, DataFrame], most_calls: int = 10) -> tuple[str, list[dict]]:
+    """A model's answer and the tool calls that led to it.
+
+    The model gets the messages so far and gives {"text": ..., "calls": [{"name": ..., "args": ...}]}; the results of
+    its calls are the next message. It ends with a turn without calls, or with the first after most_calls.
+    """
+    messages, done = [{"role": "user", "text": prompt}], []
+    while True:
+        turn = model(messages)
+        calls = turn.get("calls") or []
+        if not calls or len(done) >= most_calls:
+            return (turn.get("text") or "").strip(), done
+        results = [{**c, "result": call(c["name"], c.get("args") or {}, tables)} for c in calls]
+        done += results
+        messages += [{"role": "model", **turn}, {"role": "user", "results": results}]

@@ -45,6 +45,12 @@ class CorpusCatalog:
     def missing(self, expected: Iterable[str] = tuple(SCHEMAS)) -> list[str]:
         return [x for x in expected if not self._there(x)]
 
+    def sentences(self) -> DataFrame:
+        """The table sentences under the names that the operators use."""
+        return self.table("sentences").withColumnsRenamed(
+            {"pali_sentence": "pali", "english_translation": "english", "vietnamese_translation": "vietnamese"}
+        )
+
     def append(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.root}/{name}")
 
@@ -61,6 +67,29 @@ def append_jsonl(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
+def append_texts(rows: DataFrame, path: str, name: str, text: str) -> None:
+    """Each row's text as files of its own, in a folder of the name: prompts and answers as they were sent."""
+    rows.select(F.col(name).alias("name"), F.col(text).alias("value")).write.mode("append").partitionBy("name").text(path)
+
+
+def save_state(state: DataFrame, path: str) -> None:
+    """A small state table as JSON lines in a new version below the path; the old versions stay readable."""
+    version = max(_versions(state.sparkSession, path), default=0) + 1
+    state.coalesce(1).write.json(f"{path}/v{version:08d}")
+
+
+def load_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The last whole version that save_state() wrote; no rows without any."""
+    version = max(_versions(spark, path), default=0)
+    return read_jsonl(spark, f"{path}/v{version:08d}", schema)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*/_SUCCESS")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    return [int(x.getPath().getParent().getName()[1:]) for x in found]
+
+
 def with_column_if_missing(df: DataFrame, name: str, kind: str) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(kind))
 
@@ -80,16 +109,33 @@ class DriverTables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def sentences(self) -> DataFrame:
-        """conversations by line: book_id, para_id, line_id (from 0), pali and, for the assistant's turns, english."""
+        """conversations by line: book_id, para_id, line_id (from 0), pali, english for the assistant's turns, and made-up pages."""
         c = self.raw("conversations")
         lines = c.select(F.col("conv_id").alias("book_id"), F.col("turn").alias("para_id"), "role", F.posexplode(F.split("text", "\n")).alias("line_id", "pali"))
-        return lines.withColumns({"line_id": F.col("line_id").cast("long"), "english": F.when(F.col("role") == "assistant", F.col("pali"))})
+        # system turns have a second translation, and every other line pages
+        page = F.concat_ws(".", "para_id", "line_id")
+        return lines.withColumns(
+            {
+                "line_id": F.col("line_id").cast("long"),
+                "english": F.when(F.col("role") == "assistant", F.col("pali")),
+                "vietnamese": F.when(F.col("role") == "system", F.concat(F.lit("vi "), "pali")),
+                "thaipage": page,
+                "vripage": F.when(F.col("para_id") % 2 == 0, F.concat(F.lit("v"), page)),
+                "ptspage": F.lit(None).cast("string"),
+            }
+        )
 
     def headings(self) -> DataFrame:
         """The user's turns, each with a chapter of two paragraphs."""
         c = self.raw("conversations").filter("role = 'user'")
         return c.select(F.col("conv_id").alias("book_id"), F.col("turn").alias("para_id"), F.lit(2).alias("chapter_len"))
 
+    def headings_with_ids(self) -> DataFrame:
+        """headings() with an sc_id, the number of a document; it is null or empty at the start of some books."""
+        kind = F.col("book_id") % 5
+        sc_id = F.when((F.col("para_id") > 1) | (kind > 1), F.col("book_id") + F.col("para_id")).cast("string")
+        return self.headings().withColumn("sc_id", F.when((F.col("para_id") <= 1) & (kind == 1), "").otherwise(sc_id))
+
     def links(self) -> DataFrame:
         """From each line to the same line of the next paragraph, where there is one."""
         s = self.sentences().select("book_id", "para_id", "line_id")
@@ -101,9 +147,3 @@ class DriverTables:
     def tree(self) -> DataFrame:
         """part as a tree: id, parent (id div 4, root 0) and title."""
         return self.raw("part").select(F.col("p_partkey").alias("id"), F.expr("p_partkey div 4").alias("parent"), F.col("p_name").alias("title"))
-
-    def definitions(self) -> DataFrame:
-        """Words of the benchmark items: word, and the item and position where they stand."""
-        b = self.raw("benchmark")
-        words = b.select("item_id", F.posexplode(F.split(F.lower("text"), "[^a-z]+")).alias("pos", "word"))
-        return words.filter("length(word) >= 5").withColumn("pos", F.col("pos").cast("long"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -21,18 +21,65 @@ def tail(logs: DataFrame, task_id: int) -> DataFrame:
     return logs.filter(F.col("task_id") == task_id).select("id", "task_id", "level", "ts")
 
 
-def last_seen(logs: DataFrame) -> DataFrame:
-    """The latest sign of life of each task."""
-    return logs.groupBy("task_id").agg(F.max("ts").alias("last_seen"))
+def follow(
+    logs: DataFrame, task_id: int, write: Callable[[DataFrame, int], None], ended: Callable[[], bool], checkpoint: str, wait_s: float = 5, idle_looks: int = 360
+) -> int:
+    """Hands over a task's new entries, look by look, until it has ended or `idle_looks` looks in a row found nothing; the number of looks.
 
+    Whether it has ended is asked before a look, so what came in with the end is still handed over.
+    """
+    idle = looks = 0
+    found = [0]
+
+    def hand_over(batch: DataFrame, n: int) -> None:
+        rows = batch.persist()
+        found[0] += rows.count()
+        write(rows, n)
+        rows.unpersist()
+
+    while idle <= idle_looks:
+        last, found[0] = ended(), 0
+        query = tail(logs, task_id).writeStream.foreachBatch(hand_over).option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start().awaitTermination()
+        looks += 1
+        if last:
+            break
+        idle = 0 if found[0] else idle + 1
+        time.sleep(wait_s)
+    return looks
+
+
+def watchdog(logs: DataFrame, limit: float = 300, late: str = "1 minute") -> DataFrame:
+    """(task_id, last_seen, silent): each task when its last entry is more than `limit` seconds behind the watermark, once for each silence.
+
+    The state of a task is the time of its last entry, and is dropped with the report, so silent tasks leave nothing behind.
+    """
 
-def watchdog(logs: DataFrame, handle: Callable[[DataFrame, int], None], now: Callable[[], float], limit: float = 300) -> StreamingQuery:
-    """After each batch hands over the tasks silent for more than `limit` seconds."""
-
-    def check(batch: DataFrame, n: int) -> None:
-        handle(batch.filter(F.col("last_seen").cast("double") < now() - limit), n)
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            last = state.get[0]
+            state.remove()
+            yield pd.DataFrame({"task_id": [key[0]], "last_seen": [last]})
+            return
+        last = max([*(t for f in frames for t in f["t"]), *([state.get[0]] if state.exists else [])])
+        state.update((last,))
+        state.setTimeoutTimestamp(max(int((last + limit) * 1000), state.getCurrentWatermarkMs() + 1))
 
-    return last_seen(logs).writeStream.outputMode("complete").foreachBatch(check).trigger(availableNow=True).start()
+    rows = logs.withWatermark("ts", late).select("task_id", "ts", F.col("ts").cast("double").alias("t"))
+    return rows.groupBy("task_id").applyInPandasWithState(run, "task_id long, last_seen double", "last double", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def poll(look: Callable[[], DataFrame], start: Callable[[list], None], wait_s: float = 5, looks: int | None = None) -> int:
+    """Starts what each look at the queue finds (see tasks.startable, whose rows are bounded), `looks` times or for ever; the number started."""
+    started = done = 0
+    while looks is None or done < looks:
+        rows = look().collect()
+        if rows:
+            start(rows)
+        started, done = started + len(rows), done + 1
+        if looks is None or done < looks:
+            time.sleep(wait_s)
+    return started
 
 
 def daily_quota(calls: DataFrame, late: str = "1 day", per_day: int = 1500) -> DataFrame:

@@ -17,8 +17,11 @@ from quarry.operators import paragraphs as P
 from quarry.operators import search as S
 from quarry.operators import tasks as K
 from quarry.plans import registry
+from quarry.plans.mapping import map_headings
 from quarry.plans.queries import oracle_sql, queries
 from quarry.sources import catalog
+from quarry.sources.model import answered
+from quarry.streaming import logs as L
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -113,6 +116,7 @@ def test_gloss_format(spark):
 
 
 def test_salvage():
+    assert [parsing.strip_fences(x) for x in ("```json\n[1]\n```", "``` [1] ```", "[1]\n```", "```\n[1]", " a `b` ", None, "```")] == ["[1]", "[1]", "[1]", "[1]", "a `b", "", ""]
     whole = '[{"pali": "a", "english": "}"}, {"pali": "b", "english": "c"}]'
     assert [x["pali"] for x in parsing.salvage_list(f"```json\n{whole}\n```")] == ["a", "b"]
     assert [x["pali"] for x in parsing.salvage_list(whole[:-5])] == ["a"]
@@ -145,11 +149,20 @@ def lines(spark):
 def test_paragraphs(spark):
     got = {(r.book_id, r.para_id): r for r in P.get_paragraph(lines(spark), "all").collect()}
     assert got[1, 1].pali == "a\n " and got[1, 4].pali == "c" and got[1, 4].english == "y\nz" and got[1, 4].word_count == 2
-    assert {r.para_id: r.text for r in P.paragraph_range(lines(spark), 1, 4).filter("book_id = 1").collect()} == {1: "a\n", 2: "b", 4: "c"}
+    got = P.paragraph_range(lines(spark), 1, 4, "pali").filter("book_id = 1").collect()
+    assert {r.para_id: (r.pali, r.line_count) for r in got} == {1: ("a\n", 2), 2: ("b", 1), 4: ("c", 2)}
+    every = P.paragraph_range(lines(spark), 1, 2, "ALL").columns
+    assert every == ["book_id", "para_id", *P.LANGUAGES, "line_count"] and "english" in P.get_paragraph(lines(spark), "klingon").columns
+    pages = lines(spark).withColumns({"vietnamese": F.upper("pali"), "thaipage": F.concat(F.lit("t"), "line_id"), "vripage": F.when(F.col("line_id") > 0, "v")})
+    got = {(r.book_id, r.para_id): r for r in P.get_paragraph(pages, "vietnamese").collect()}
+    assert (got[1, 4].vietnamese, got[1, 4].word_count, got[1, 4].thaipage, got[1, 4].vripage, got[1, 4].ptspage) == ("C", 1, "t0", "", "")
     before = {(r.book_id, r.para_id): r.previous for r in P.previous_paragraph(P.get_paragraph(lines(spark), "english")).collect()}
     assert before == {(1, 1): "", (1, 2): "x", (1, 4): "", (2, 1): ""}
     stats = P.book_stats(lines(spark), spark.createDataFrame([(1,), (9,)], "book_id long")).orderBy("book_id").collect()
-    assert [tuple(r) for r in stats] == [(1, 3, 5, 1, 4), (9, 0, 0, None, None)]
+    assert [tuple(r) for r in stats] == [(1, "", "", "", 3, 5, 1, 4), (9, "", "", "", 0, 0, None, None)]
+    named = spark.createDataFrame([(1, "n", None, "s"), (9, "m", "k", None)], "book_id long, book_name string, nikaya string, sub_nikaya string")
+    stats = P.book_stats(lines(spark), named).orderBy("book_id").collect()
+    assert [tuple(r)[:5] for r in stats] == [(1, "n", "", "s", 3), (9, "m", "k", "", 0)]
     empty = lines(spark).limit(0)
     assert P.get_paragraph(empty).count() == P.chunk_paragraphs(empty.withColumn("tokens", F.lit(1)), 5).count() == 0
 
@@ -161,6 +174,10 @@ def test_pending_ranges(spark, length, want):
     got = C.pending_headings(heads, todo).collect()
     assert any(r.para_id == 4 for r in got) == want
     assert C.pending_headings(heads, todo, overwrite=True).count() == 2
+    named = spark.createDataFrame([(1, 4, 2, "a"), (1, 3, 3, ""), (1, 2, 4, None), (2, 4, 2, "a"), (1, 5, 1, "b")], "book_id long, para_id long, chapter_len int, sc_id string")
+    found = lambda **how: [(r.book_id, r.para_id) for r in C.pending_headings(named, todo, **how).collect()]
+    assert found() == [(1, 4), (1, 5)] and found(sc_id="a") == [(1, 4)] and found(sc_id="") == [(1, 3)] and found(book_id=2) == []
+    assert found(overwrite=True) == [(1, 4), (1, 5), (2, 4)] and found(overwrite=True, book_id=2) == [(2, 4)]
 
 
 @pytest.mark.parametrize("most, tier", [(0, 1), (10**6, 1), (125, 2), (60, 3)])
@@ -173,6 +190,58 @@ def test_commentary_tiers(spark, most, tier):
     assert got[1].commentary.count("\n  [") == {1: 12, 2: 3, 3: 1}[tier]
 
 
+def test_batches_of_clustered_and_textual_keys(spark):
+    rng = random.Random(6)
+    ids = [rng.randrange(50) + 10**12 * (k % 9 == 0) for k in range(400)]
+    got = P.fixed_batches(spark.createDataFrame([(i,) for i in ids], "k long"), "k", 30).collect()
+    assert sorted((r.k, r.batch) for r in got) == sorted((k, i // 30) for i, k in enumerate(sorted(ids)))
+    names = spark.createDataFrame([(f"n{i:03d}",) for i in range(100)], "k string")
+    assert sorted((r.k, r.batch) for r in P.fixed_batches(names, "k", 7).collect()) == [(f"n{i:03d}", i // 7) for i in range(100)]
+    assert P.fixed_batches(names.limit(0), "k", 7).count() == 0
+
+
+def test_grams_like_a_model(spark):
+    rng = random.Random(8)
+    word = lambda: rng.choice("alpha beta gamma Delta eps x".split())
+    texts = [" ".join(word() for _ in range(rng.randrange(14))) for _ in range(40)] + ["", None]
+    heads = {" ".join(word().lower() for _ in range(rng.randint(1, 6))) for _ in range(60)}
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = C.gram_overlap(df, "t", spark.createDataFrame([(h, len(h)) for h in heads] * 2, "pali string, n int"), ["i"]).collect()
+    want = []
+    for i, text in enumerate(texts):
+        w = [x.lower() for x in (text or "").split() if len(x) > 1]
+        want += [(i, g, len(g)) for g in {" ".join(w[a : a + n]) for n in range(1, 6) for a in range(len(w) - n + 1)} & heads]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_tiers_by_length_are_those_of_the_texts(spark):
+    rng = random.Random(9)
+    rows = [(b, p, i, rng.choice([None, "", "x " * rng.randrange(30), "ü§"]), None) for b in range(9, 12) for p in range(4) for i in range(rng.randrange(7))]
+    s = spark.createDataFrame(rows, LINES)
+    targets = [(g, rng.randrange(9, 12), rng.randrange(5), rng.randrange(8)) for g in range(40) for _ in range(rng.randrange(5))]
+    targets = spark.createDataFrame(list(dict.fromkeys(targets)), "of long, dst_book long, dst_para long, dst_line long")
+    groups = spark.range(40).withColumnRenamed("id", "of")
+    texts = {tier: {r.of: r.text for r in C.commentary(targets, s, tier).collect()} for tier in C.LABELS}
+    for most in (0, 70, 150, 400):
+        for r in C.commentary_tiered(groups, targets, s, most).collect():
+            shown = [texts[t].get(r.of, "") for t in C.LABELS]
+            tier = 1 if most <= 0 or len(shown[0]) <= most else 2 if len(shown[1]) <= most else 3
+            assert (r.tier, r.commentary) == (tier, shown[tier - 1] or C.NO_COMMENTARY)
+
+
+def test_samples_are_drawn_by_a_hash(spark):
+    heads = spark.createDataFrame([(1, i, 1, f"s{i}" if i % 5 else "") for i in range(40)], "book_id long, para_id long, chapter_len int, sc_id string")
+    s = spark.createDataFrame([(1, i, k, f"w{k}", None) for i in range(40) for k in range(3)], LINES)
+    none = spark.createDataFrame([], "book_id long, para_id long, line_id long, content string, channel_id string")
+    refs = spark.createDataFrame([("s7", "name", "p", "e")], "sc_id string, sutta_name string, palitext string, entext string")
+    draw = lambda n, seed: {r.head_id for r in C.sampled_context(heads, s, refs, none, 2, n, seed).collect()}
+    assert draw(None, 1) == {i for i in range(40) if i % 5} and len(draw(9, 1)) == 9 and draw(9, 1) == draw(9, 1) != draw(9, 2)
+    whole = {r.head_id: r for r in C.sampled_context(heads, s, refs, none, 2).collect()}
+    assert (whole[7].n_sentences, whole[7].sutta_name, whole[7].block) == (2, "name", "[7/0] w0 = (none)\n[7/1] w1 = (none)") and whole[8].sutta_name == "s8"
+    got = queries()["sample_headings"](spark, SF).collect()
+    assert len(got) == min(30, spark.read.parquet(f"{SF}/conversations.parquet").filter("role = 'user'").count()) and len(set(got)) == len(got)
+
+
 def test_merges(spark):
     rows = spark.createDataFrame([(1, " a ", "b"), (2, "a", "b"), (3, "", "b"), (4, None, "c"), (5, "d", "e")], "n int, pali string, english string")
     have = spark.createDataFrame([("d", "e")], "pali string, english string")
@@ -180,6 +249,12 @@ def test_merges(spark):
     marks = spark.createDataFrame([("1", "x"), ("-2", "y"), ("a3", "x"), ("4", "zz"), ("5", None)], "k string, v string")
     valid = spark.createDataFrame([("x",), ("y",)], "v string")
     assert {r.k: r.v for r in M.validate_mapping(marks, valid, "k", "v").collect()} == {"1": "x", "-2": "y", "4": None, "5": None}
+    asked = spark.createDataFrame([("1", 0), ("7", 0), ("8", 1)], "k string, batch int")
+    filled = M.with_omitted(M.validate_mapping(marks, valid, "k", "v"), asked, ["k"], "v", ["batch"])
+    assert {(r.k, r.batch, r.v) for r in filled.collect()} == {("1", 0, "x"), ("7", 0, None), ("8", 1, None), ("-2", None, "y"), ("4", None, None), ("5", None, None)}
+    assert {tuple(r) for r in M.mapped_counts(filled, ["batch"], "v").collect()} == {(0, 2, 1), (1, 1, 0), (None, 3, 1)}
+    table, more = spark.createDataFrame([("a", "1")], "k string, v string"), spark.createDataFrame([("0", "a"), ("2", "b")], "v string, k string")
+    assert {tuple(r) for r in M.with_defaults(table, more, ["k"]).collect()} == {("a", "1"), ("b", "2")}
     writes = spark.createDataFrame([("a", "1", 1), ("a", None, 2), ("b", "2", 3)], "k string, v string, n int")
     assert {r.k: r.v for r in M.last_write(writes, ["k"], "v", "n").collect()} == {"a": None, "b": "2"}
 
@@ -192,6 +267,88 @@ def test_queue(spark):
     assert [r.id for r in K.next_task(df, 100).collect()] == [3] and K.next_task(df.filter("status = 'x'"), 1).count() == 0
     assert [r.id for r in K.stale(df, 1000).collect()] == [4]
     assert [r.id for r in S.page(df, ["id"], 2, 3).collect()] == [4, 5, 6]
+    assert [r.id for r in K.startable(df, 300, 6).collect()] == [3, 2] and K.startable(df, 300, 4).count() == 0
+    looks, begun = iter([df, df.limit(0), df]), []
+    assert L.poll(lambda: K.startable(next(looks), 300, 5), lambda rows: begun.extend(r.id for r in rows), 0, 3) == 2 and begun == [3, 3]
+
+
+def test_keys(spark):
+    rows = [(1, "call", 1), (1, "exhausted", 2), (1, "cleared", 3), (1, "off", 4), (1, "on", 5), (2, "exhausted", 9), (2, "off", 1), (3, "call", 1), (3, "delete", 2)]
+    rows += [(4, "delete", 1), (4, "call", 2), (4, "error", 3)]
+    df = spark.createDataFrame([(k, t, i, w) for i, (k, w, t) in enumerate(rows)], "key_id int, ts long, event_id int, what string")
+    got = {r.key_id: tuple(r)[1:] for r in K.key_flags(df).collect()}
+    assert got == {1: (1, 1, None, 1), 2: (0, 1, 9, 0), 4: (1, 1, None, 1)}
+    assert one(spark, T.id_list, " 3, 4,,5 ") == [3, 4, 5] and [one(spark, T.id_list, x) for x in (None, "", ",", "3,x")] == [None] * 4
+    pool = spark.createDataFrame([(i, "g", 1, None if i < 4 else 1.0, i) for i in range(6)], "id long, provider string, is_active int, exhausted_at double, total_calls int")
+    assert [r.id for r in K.next_key(pool, "g", [2, 3, 5]).collect()] == [2] and K.usable_keys(pool, "h").count() == 0
+    assert K.usable_keys(K.after_model_change(pool, "a", "b")).count() == 6 and K.usable_keys(K.after_model_change(pool, "a", "a")).count() == 4
+    bar = lambda *x: spark.createDataFrame([x], "d int, t int, e double").select(*(v.alias(k) for k, v in K.progress(*map(F.col, "dte")).items())).first()
+    assert tuple(bar(5, 20, 10.0)) == (25.0, 0.5, 30) and bar(0, 20, 1.0).left_s is None and bar(20, 20, 1.0).left_s is None and bar(0, 0, 0.0).percent == 0
+
+
+def test_gaps_of_each_key(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.randrange(4), 86_400 * rng.randrange(3) + rng.randrange(86_400)) for i in range(200)] + [(900, 9, 5)]
+    df = spark.createDataFrame(rows, "id long, k int, s long").withColumn("ts", F.timestamp_seconds("s"))
+    want, last = {}, {}
+    for i, k, s in sorted(rows, key=lambda r: (r[2], r[0])):
+        want[i] = s - last[k] if k in last else None
+        last[k] = s
+    assert {r.id: r.gap_s for r in K.gaps(df, "ts", "k", "id").collect()} == want
+
+
+def test_prompt_and_time(spark):
+    df = spark.createDataFrame([("x{b}", None, 0.0)], "a string, b int, t double")
+    assert df.select(T.filled("{a}-{b}-{a} {}", {"a": F.col("a"), "b": F.col("b")})).first()[0] == "x{b}--x{b} {}"
+    assert df.select(T.local_time(F.col("t"))).first()[0] == "1970-01-01 00:00:00"
+
+
+def test_model_answers(spark):
+    def model():
+        tries = {}
+
+        def ask(prompt):
+            tries[prompt] = tries.get(prompt, 0) + 1
+            if prompt == "slow":
+                raise TimeoutError
+            if prompt == "bad" or prompt == "busy" and tries[prompt] < 3:
+                raise ValueError("503 unavailable" if prompt == "busy" else "no such model")
+            return prompt.upper()
+
+        return ask
+
+    df = spark.createDataFrame([(p,) for p in ("a", "busy", "bad", "slow", None)], "prompt string")
+    got = {r.prompt: (r.raw, r.finish_reason) for r in answered(df, "prompt", model, wait_s=0).collect()}
+    assert got == {"a": ("A", "STOP"), "busy": ("BUSY", "STOP"), "bad": (None, "ERROR: no such model"), "slow": (None, "TIMEOUT"), None: (None, None)}
+    assert answered(df.limit(0), "prompt", model).count() == 0
+
+
+def test_mapping_resumes(spark, tmp_path):
+    def model():
+        def ask(prompt):
+            book = re.search(r"book (\d+)", prompt)[1]
+            ids = [x.split()[0] for x in prompt.split("Headings:\n")[1].split("\n\n")[0].split("\n")]
+            if book == "2":
+                return "no idea"
+            assert set(ids) <= {"1", "2", "3", "4", "5"}
+            return "```json\n{" + ", ".join(f'"{i}": "r{i}"' for i in ids if i != "4") + ', "x": "r1"}\n```'
+
+        return ask
+
+    heads = [(1, i, 1, f"t{i}", None) for i in range(1, 6)] + [(1, 9, 10, "deep", None), (2, 1, 1, "u", "old"), (3, 1, 1, "no reference", None)]
+    heads = spark.createDataFrame(heads, "book_id long, para_id long, level int, title string, sc_id string")
+    refs = spark.createDataFrame([(1, f"r{i}", "n") for i in (1, 2, 4)] + [(2, "r1", "n"), (2, "r3", None)], "book_id long, sc_id string, sutta_name string")
+    books, cache = spark.createDataFrame([(1,), (2,), (3,)], "book_id long"), f"file://{tmp_path}/cache"
+    _, sums = map_headings(heads, refs, model, cache, books, size=2, dry_run=True)
+    assert {tuple(r) for r in sums.collect()} == {(1, 5, 5, 2), (2, 1, 1, 0)}
+    broken = lambda: lambda prompt: (_ for _ in ()).throw(AssertionError("asked again"))
+    new, sums = map_headings(heads, refs, broken, cache, books, book_id=1)
+    assert {r.para_id: r.sc_id for r in new.filter("book_id = 1").collect()} == {1: "r1", 2: "r2", 3: None, 4: None, 5: None, 9: None}
+    assert new.filter("book_id = 2").first().sc_id == "old" and [tuple(r) for r in sums.collect()] == [(1, 5, 5, 2)]
+    _, sums = map_headings(heads, refs, lambda: lambda p: "{}", cache, books, reset=True)
+    assert {tuple(r) for r in sums.collect()} == {(1, 5, 5, 0), (2, 1, 1, 0)}
+    with pytest.raises(ValueError, match="unknown book"):
+        map_headings(heads, refs, model, cache, books, book_id=77)
 
 
 def test_catalog(spark, tmp_path):
@@ -203,6 +360,18 @@ def test_catalog(spark, tmp_path):
     catalog.append_jsonl(spark.createDataFrame([("ñ", 1)], "k string, n int"), f"file://{tmp_path}/x")
     assert catalog.read_jsonl(spark, f"file://{tmp_path}/x", "k string, n int").first().k == "ñ"
     assert catalog.read_jsonl(spark, f"file://{tmp_path}/none", "k string").count() == 0
+    c.append("sentences", spark.createDataFrame([("b", 1, 0, "p", "e f", None, "t", None, "s")], catalog.SCHEMAS["sentences"]))
+    assert P.get_paragraph(c.sentences(), "all").first().asDict() == {
+        "book_id": "b", "para_id": 1, "pali": "p", "english": "e f", "vietnamese": "", "line_count": 1, "word_count": 2, "thaipage": "t", "vripage": "", "ptspage": "s"
+    }
+    state = f"file://{tmp_path}/state"
+    assert catalog.load_state(spark, state, "k string, n int").count() == 0
+    for n in (1, 2):
+        catalog.save_state(spark.createDataFrame([("ñ", n)], "k string, n int"), state)
+    assert [tuple(r) for r in catalog.load_state(spark, state, "k string, n int").collect()] == [("ñ", 2)]
+    sent = spark.createDataFrame([("c1_prompt", "line\nü"), ("c1_answer", None), ("c2_prompt", "z")], "name string, body string")
+    catalog.append_texts(sent.filter("body is not null"), f"file://{tmp_path}/log", "name", "body")
+    assert spark.read.text(f"file://{tmp_path}/log", wholetext=True).filter("name = 'c1_prompt'").first().value.strip() == "line\nü"
 
 
 def test_registry(spark):
@@ -210,3 +379,16 @@ def test_registry(spark):
     found = registry.call("get_paragraph", {"book_id": 1, "para_id": 4}, {"sentences": t})
     assert found["count"] == 1 and found["rows"][0]["english"] == "y\nz"
     assert "error" in registry.call("no such tool", {}, {}) and "error" in registry.call("get_paragraph", {"book_id": 1}, {"sentences": t})
+
+
+def test_conversation(spark):
+    t = lines(spark)
+    turns = iter([{"text": "let me look", "calls": [{"name": "get_paragraph", "args": {"book_id": 1, "para_id": 4}}, {"name": "nope"}]}, {"text": " done "}])
+    answer, calls = registry.converse(lambda messages: next(turns), "read it", {"sentences": t})
+    assert answer == "done" and calls[0]["result"]["count"] == 1 and "error" in calls[1]["result"]
+    endless = lambda messages: {"text": "more", "calls": [{"name": "nope"}] * 3}
+    answer, calls = registry.converse(endless, "read it", {}, most_calls=4)
+    assert answer == "more" and len(calls) == 6
+    books = spark.createDataFrame([(1, "n", "k", "s")], "book_id long, book_name string, nikaya string, sub_nikaya string")
+    assert registry.call("get_book_stats", {"book_id": 1}, {"sentences": t, "books": books})["rows"][0]["book_name"] == "n"
+    assert registry.call("get_nearby_context", {"book_id": 1, "para_id": 2, "language": "pali"}, {"sentences": t})["count"] == 3

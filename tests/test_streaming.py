@@ -49,7 +49,20 @@ def test_silences(spark, folder):
 
 
 def test_watchdog(spark, folder):
+    got = run(L.watchdog(L.log_stream(spark, f"{folder}/in", SCHEMA, files_per_batch=1)), "watched", "append").collect()
+    rows = spark.read.schema(SCHEMA).parquet(f"{folder}/in").withColumn("t", F.col("ts").cast("timestamp").cast("double")).collect()
+    end = max(r.t for r in rows) - 60
+    last = {k: max(r.t for r in rows if r.task_id == k) for k in range(4)}
+    # every task whose last entry is behind the last watermark by more than the limit is reported with it
+    assert {(k, t) for k, t in last.items() if t < end - 300} <= {(r.task_id, r.last_seen) for r in got}
+    assert all((r.task_id, r.last_seen) in {(x.task_id, x.t) for x in rows} for r in got)
+
+
+def test_follow_stops(spark, folder):
     seen = []
-    stream = L.log_stream(spark, f"{folder}/in", SCHEMA)
-    L.watchdog(stream, lambda df, n: seen.extend(r.task_id for r in df.collect()), lambda: 4e9).awaitTermination(120)
-    assert sorted(set(seen)) == [0, 1, 2, 3]
+    stream = lambda: L.log_stream(spark, f"{folder}/in", SCHEMA)
+    write = lambda df, n: seen.extend(r.id for r in df.collect())
+    looks = L.follow(stream(), 2, write, lambda: bool(seen), f"{folder}/cp", wait_s=0)
+    want = [r.id for r in spark.read.schema(SCHEMA).parquet(f"{folder}/in").filter("task_id = 2").collect()]
+    assert looks == 2 and sorted(seen) == sorted(want)
+    assert L.follow(stream(), 2, write, lambda: False, f"{folder}/cp", wait_s=0, idle_looks=1) == 2 and len(seen) == len(want)
