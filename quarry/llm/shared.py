@@ -67,6 +67,23 @@ def discard(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small file; a reader sees the old one or the new one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    to, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = new.getFileSystem(conf).create(new)
+    out.write(bytearray(text.encode()))
+    out.close()
+    # of the file contexts' calls this one replaces its target
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), conf).rename(new, to, options)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df as a reliable checkpoint, for frames of any columns; Spark keeps it unless spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     shared_dir(df.sparkSession)
@@ -78,6 +95,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_order(docs: DataFrame, doc_id: str, text: str, range_bytes: int, most: int = 50_000) -> DataFrame:
+    """(doc_id, text) in partitions that are ranges of ascending doc_id of about range_bytes of text, sorted within.
+
+    There are no more ranges than `most` or the shuffle partitions, whichever is larger. Rows of one doc_id keep their
+    order, and many of them are spread over several ranges.
+    """
+    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(1, min(max(most, partitions(docs.sparkSession)), -(-total // range_bytes)))
+    src = src.withColumn("_at", F.monotonically_increasing_id())
+    parted = src.repartitionByRange(ranges, "doc_id", "_at") if ranges > 1 else src.coalesce(1)
+    return parted.sortWithinPartitions("doc_id", "_at").select("doc_id", "text")
+
+
 def fingerprint(*cols: Column) -> tuple[Column, Column]:
     """Two 64-bit hashes with separate seeds, 128 bits together."""
     return F.xxhash64(*cols), F.xxhash64(F.lit("second"), *cols)
