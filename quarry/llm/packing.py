@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import partitions
+from quarry.llm.shared import in_order
 from quarry.llm.tokens import Encoder, encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -144,19 +144,15 @@ def pack(
     into windows, each of which is a sequence. Cuts are best at the end of a document, cost
     sentence_penalty tokens at the end of a sentence and inside_penalty elsewhere, where they are
     allowed only in runs of more than size/8 tokens without either. The order is kept by ranges of
-    doc_id of about block_bytes of text, at most as many as there are shuffle partitions; only the
-    last sequence of a range is left short. A task holds about `chunk` tokens or its longest
-    document. tokenizer: the path of a tokenizers file that every executor has.
+    doc_id of about block_bytes of text; only the last sequence of a range is left short. A task
+    holds about `chunk` tokens or its longest document. tokenizer: the path of a tokenizers file that
+    every executor has.
 
     Null or empty text: the end id alone. Null doc_ids come first; rows of one doc_id are documents
-    of their own, one after another in no set order. An empty table gives an empty table. Other
+    of their own, one after another as they are read. An empty table gives an empty table. Other
     columns, whatever their names, are ignored.
     """
-    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, min(partitions(docs.sparkSession), -(-total // block_bytes)))
-    ordered = src.repartitionByRange(blocks, "doc_id") if blocks > 1 else src.coalesce(1)
-    ordered = ordered.sortWithinPartitions("doc_id")
+    ordered = in_order(docs, doc_id, text, block_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer)

@@ -11,7 +11,7 @@ A file holds, in this order:
              hash functions (4), bytes of an id (4), MAGIC
 
 A key is 0 for a null doc_id or else 1 and the doc_id plus 2**63 as 8 bytes, then 4 bytes that count
-the rows of that doc_id; big-endian. A value is the document's ids, little-endian, 2 bytes each where
+the rows of that doc_id in the shard; big-endian. A value is the document's ids, little-endian, 2 bytes each where
 the vocabulary allows it and else 4. All other numbers are little-endian.
 """
 
@@ -32,12 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import partitions, scratch
+from quarry.llm.shared import in_order, partitions, scratch
 from quarry.llm.tokens import encoder
 
 MAGIC = b"QSST0001"
 FOOTER = struct.Struct("<QQQQQQII8s")
-MANIFEST = "shard int, path string, docs long, tokens long"
+MANIFEST = "shard int, file int, path string, docs long, tokens long"
 
 
 def key_of(doc_id: int | None, nth: int = 0) -> bytes:
@@ -83,6 +83,7 @@ class Writer:
         self.block, self.held, self.first, self.last = [], 0, b"", b""
         self.index: list[bytes] = []
         self.seen: list[bytes] = []
+        self.value_bytes = 0
         self.zip = zstandard.ZstdCompressor(level=1)
 
     def add(self, key: bytes, ids: np.ndarray) -> None:
@@ -98,6 +99,7 @@ class Writer:
         self.seen.append(key)
         self.docs += 1
         self.tokens += len(ids)
+        self.value_bytes += len(value)
         if self.held >= self.block_bytes:
             self._end_block()
 
@@ -174,45 +176,47 @@ class Reader:
         return next((ids for found, ids in self._entries(k) if found == key), None) if k >= 0 else None
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end: int = 1) -> DataFrame:
+def write_shards(
+    docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end: int = 1,
+    range_bytes: int = 32 << 20, file_bytes: int = 256 << 20, file_docs: int = 1 << 20,
+) -> DataFrame:
     """Encodes all texts, appends the id `end` to each and writes them as shards under path in ascending doc_id order.
 
-    Returns the manifest (shard, path, docs, tokens), itself written under path: shards are ranges of
-    doc_id, rising with the shard number. Each try of a task writes a file of its own, by another name
-    until it is complete; what the manifest does not list is left from tasks that were lost.
+    Returns the manifest (shard, file, path, docs, tokens), itself written under path: shards are ranges
+    of doc_id of about range_bytes of text, rising with the shard number. A shard's files hold about
+    file_bytes of ids and file_docs documents at most, so what a task keeps of a file is bounded. Each try of a task
+    writes files of its own, by other names until they are complete; what the manifest does not list
+    is left from tasks that were lost.
 
-    Null or empty text: the end id alone. Null doc_ids come first; rows of one doc_id are numbered in
-    no set order. An empty table gives an empty manifest. Other columns, whatever their names, are ignored.
+    Null or empty text: the end id alone. Null doc_ids come first; rows of one doc_id follow one
+    another as they are read. An empty table gives an empty manifest. Other columns, whatever their names, are
+    ignored.
     """
-    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ordered = src.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batch = next(batches, None)
-        while batch is not None and not batch.num_rows:
-            batch = next(batches, None)
-        if batch is None:
-            return
         tokens = encoder(tokenizer)
         fs, root = pyarrow.fs.FileSystem.from_uri(path)
         fs.create_dir(root, recursive=True)
-        shard = TaskContext.get().partitionId()
-        name = f"shard-{shard:06d}-{uuid.uuid4().hex}.sst"
-        last: tuple = ()
-        with fs.open_output_stream(f"{root}/_{name}") as out:
-            writer = Writer(out, 2 if tokens.tokenizer.get_vocab_size() <= 1 << 16 else 4)
-            while batch is not None:
-                for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    last = (i, last[1] + 1) if last and last[0] == i else (i, 0)
-                    writer.add(key_of(*last), np.frombuffer(tokens.ids(t.as_py(), end), dtype="<u4"))
-                batch = next(batches, None)
-            writer.close()
-        fs.move(f"{root}/_{name}", f"{root}/{name}")
-        yield pa.RecordBatch.from_pydict(
-            {"shard": pa.array([shard], pa.int32()), "path": [f"{path}/{name}"], "docs": [writer.docs], "tokens": [writer.tokens]}
-        )
-
-    ordered.mapInArrow(run, MANIFEST).write.parquet(f"{path}/manifest")
+        shard, files, last = TaskContext.get().partitionId(), 0, ()
+        id_bytes = 2 if tokens.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        rows = ((i, t) for b in batches for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True))
+        row = next(rows, None)
+        while row is not None:
+            name = f"shard-{shard:06d}-{files:04d}-{uuid.uuid4().hex}.sst"
+            with fs.open_output_stream(f"{root}/_{name}") as out:
+                writer = Writer(out, id_bytes)
+                while row is not None and writer.docs < file_docs and writer.value_bytes < file_bytes:
+                    last = (row[0], last[1] + 1) if last and last[0] == row[0] else (row[0], 0)
+                    writer.add(key_of(*last), np.frombuffer(tokens.ids(row[1].as_py(), end), dtype="<u4"))
+                    row = next(rows, None)
+                writer.close()
+            fs.move(f"{root}/_{name}", f"{root}/{name}")
+            made = [shard], [files], [f"{path}/{name}"], [writer.docs], [writer.tokens]
+            kinds = pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, made, kinds)), names=["shard", "file", "path", "docs", "tokens"])
+            files += 1
+
+    in_order(docs, doc_id, text, range_bytes).mapInArrow(run, MANIFEST).write.parquet(f"{path}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
@@ -235,10 +239,10 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
 
-    # one row per shard, so the running sum is over as few rows as there are files
-    before = F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    files = manifest.select("shard", "path", F.coalesce(before, F.lit(0)).cast("long").alias("before"))
-    files = files.repartition(partitions(manifest.sparkSession), "shard")
+    # one row per file, so the running sum is over as few rows as there are files
+    before = F.sum("tokens").over(Window.orderBy("shard", "file").rowsBetween(Window.unboundedPreceding, -1))
+    files = manifest.select("path", F.coalesce(before, F.lit(0)).cast("long").alias("before"))
+    files = files.repartition(partitions(manifest.sparkSession), "path")
     return files.select("path", "before").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from functools import cache
@@ -17,18 +18,42 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+#: What a tokenizers file says of a tokenizer that encodes runs of letters, single digits and runs of signs on their own.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def parts_words(tokenizer: Tokenizer) -> bool:
+    """Whether texts may be encoded by their pieces: the tokenizer has the shape above, a byte-level model, and no special token that takes in white space."""
+    made = json.loads(tokenizer.to_str())
+    model = made["model"]
+    plain = model.get("type") == "BPE" and not model.get("dropout") and not model.get("byte_fallback") and not model.get("ignore_merges")
+    special = any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in made["added_tokens"])
+    return (made["normalizer"], made["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER) and plain and not special
+
+
 class Encoder(dict):
-    """Ids as little-endian unsigned 32-bit bytes, for a tokenizer that never joins text over white space.
+    """Ids as little-endian unsigned 32-bit bytes.
 
-    It has to fold case after NFC and to encode a run of letters and what follows it on their own, as
-    the tokenizers file of words does. Each white-space-parted piece of a text is encoded once and
-    kept, while there are fewer than `limit`; a piece of letters with signs after them is put together
-    from the two. The result equals that of encoding the text.
+    Where the tokenizer never joins text over white space (see parts_words()), each white-space-parted
+    piece of a text is encoded once and kept, while there are fewer than `limit`; a piece of letters
+    with signs after them is put together from the two. The result equals that of encoding the text.
+    By any other tokenizer whole texts are encoded.
     """
 
     def __init__(self, path: str, limit: int = 250_000):
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.parted = parts_words(self.tokenizer)
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
@@ -66,7 +91,7 @@ class Encoder(dict):
         last = b"" if end is None else end.to_bytes(4, "little")
         if not text:
             return last
-        if _ODD.search(text):
+        if not self.parted or _ODD.search(text):
             return self._encode(text) + last
         return b"".join(map(self.__getitem__, text.split())) + last
 
