@@ -73,27 +73,30 @@ def quality_verdicts(
     max_share: float = 0.05,
     least_left: float = 0.3,
     least_words: int = 20,
+    count: str = "texts",
     keep_key: bool = False,
 ) -> DataFrame:
     """The base rules and the verdict by cross-document line frequency, one row per row of docs.
 
     Lines are stripped, A-Z folded and hashed. A line is boilerplate on a host where it stands in
     more than min_docs distinct documents and in more than max_share of the host's distinct
-    documents. Distinct documents are distinct texts: copies of one text count once, so copying a
-    clean document does not turn its lines into boilerplate. Boilerplate lines are removed, and a
-    document is depleted when less than least_left of its words, or fewer than least_words, are left.
-    kept: neither failed by the base rules nor depleted.
+    documents. What counts as a document is `count`: "texts" counts copies of one text once, so
+    copying a clean document does not turn its lines into boilerplate; "documents" counts every row.
+    Boilerplate lines are removed, and a document is depleted when less than least_left of its words,
+    or fewer than least_words, are left. kept: neither failed by the base rules nor depleted.
 
     Null or empty text: no words, so base_failed. Null host: a host of its own. Repeated rows each
     get their row; ties cannot occur. An empty table gives an empty table. Other columns of docs,
     whatever their names, are ignored: the result has doc_id, the counts, n_removed_words,
     base_failed and kept, and with keep_key host and two hashes of the text, t1 and t2.
     """
+    if count not in ("texts", "documents"):
+        raise ValueError(f"count is texts or documents, not {count!r}")
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), F.col(text).alias("text"))
     keys = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: ascii_lower(F.btrim(x, F.lit(WS_CHARS))))
     lines = F.transform(
         F.filter(keys, lambda x: x != ""),
-        lambda x: F.struct(F.xxhash64(x).alias("h"), F.size(F.split(x, f"[{WS}]+", -1)).alias("n")),
+        lambda x: F.struct(*(h.alias(k) for k, h in zip(("h1", "h2"), fingerprint(x), strict=True)), F.size(F.split(x, f"[{WS}]+", -1)).alias("n")),
     )
     t1, t2 = fingerprint(F.col("text"))
     # one pass over the texts; what follows is narrow
@@ -102,22 +105,24 @@ def quality_verdicts(
         .drop("text")
         .withColumn("rid", F.monotonically_increasing_id())
     )
-    every = rows.select("rid", "host", "t1", "t2", F.explode("lines").alias("l")).select("*", "l.h", "l.n").drop("l")
+    every = rows.select("rid", "host", "t1", "t2", F.explode("lines").alias("l")).select("*", "l.*").drop("l")
+    document = ["t1", "t2"] if count == "texts" else ["rid"]
     often = (
-        every.select("host", "h", "t1", "t2")
+        every.select("host", "h1", "h2", *document)
         .distinct()
-        .groupBy("host", "h")
+        .groupBy("host", "h1", "h2")
         .agg(F.count("*").alias("docs"))
         .filter(F.col("docs") > min_docs)
     )
-    totals = rows.select(F.col("host").alias("host2"), "t1", "t2").distinct().groupBy("host2").agg(F.count("*").alias("all_docs"))
+    totals = rows.select(F.col("host").alias("host2"), *document).distinct().groupBy("host2").agg(F.count("*").alias("all_docs"))
     boiler = (
         often.join(totals, F.col("host").eqNullSafe(F.col("host2")))
         .filter(F.col("docs") > max_share * F.col("all_docs"))
-        .select("host2", F.col("h").alias("h2"))
+        .select("host2", F.col("h1").alias("b1"), F.col("h2").alias("b2"))
     )
+    same = (F.col("h1") == F.col("b1")) & (F.col("h2") == F.col("b2")) & F.col("host").eqNullSafe(F.col("host2"))
     removed = (
-        every.join(boiler, (F.col("h") == F.col("h2")) & F.col("host").eqNullSafe(F.col("host2")), "left_semi")
+        every.join(boiler, same, "left_semi")
         .groupBy("rid")
         .agg(F.sum("n").alias("removed"))
         .withColumnRenamed("rid", "rid2")
