@@ -292,7 +292,7 @@ def job_progress(t):
     return jobs.select("job_type", *(v.alias(k) for k, v in K.progress(F.col("done"), F.col("total"), F.col("elapsed")).items()))
 
 
-@query("select cast(conv_id as varchar) as sc_id, 1 as n_sentences, length(text) as prompt_chars, length(role) as output_chars, 'STOP' as finish_reason, 0.5 as elapsed_s, length(text) // 4 as prompt_tokens, length(role) // 4 as candidates_tokens, length(text) // 4 + length(role) // 4 as total_tokens from conversations")
+@query("select cast(conv_id as varchar) as sc_id, 1 as n_sentences, length(text) as prompt_chars, length(role) as output_chars, 'STOP' as finish_reason, cast(0.5 as double) as elapsed_s, length(text) // 4 as prompt_tokens, length(role) // 4 as candidates_tokens, length(text) // 4 + length(role) // 4 as total_tokens from conversations")
 def usage_rows(t):
     c = t.raw("conversations")
     made = c.select(F.col("conv_id").cast("string").alias("sc_id"), F.lit(1).alias("n_sentences"), F.col("text").alias("prompt"), F.col("role").alias("raw"), F.lit(0.51).alias("seconds"), F.lit("STOP").alias("finish_reason"))
