@@ -10,12 +10,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import WS, fingerprint, settled
+from quarry.llm.shared import WS, fingerprint, stage
 
-#: The rows that go through the tree: what decides a row, its fractional copy probability, and what is passed on.
+#: The groups of equal rows that go through the tree: what decides a group, the probability of one copy more, and what is passed on.
 ROWS = (
     "src long, block long, key long, size long, p double, "
-    "doc_id string, k1 long, k2 long, whole int, source string, source_size long, target double"
+    "doc_id string, k1 long, k2 long, n long, whole long, source string, source_size long, target double"
 )
 
 
@@ -99,16 +99,18 @@ def _rounded(seed: int, level: int):
         for frame in frames:
             if not len(frame):
                 continue
-            held.append(frame)
-            rows = pd.concat(held) if len(held) > 1 else frame
-            # the last block may go on in the next batch
-            last = rows["src"].to_numpy()[-1], rows["block"].to_numpy()[-1]
-            done = ~((rows["src"] == last[0]) & (rows["block"] == last[1]))
-            if done.any():
-                yield blocks(rows[done])
-            held = [rows[~done]]
+            # the last block may go on in the next batch; only what is whole is put together
+            src, block = frame["src"].to_numpy(), frame["block"].to_numpy()
+            last = int(np.argmax((src == src[-1]) & (block == block[-1])))
+            goes_on = held and (held[0]["src"].iloc[0], held[0]["block"].iloc[0]) == (src[0], block[0])
+            if held and (last or not goes_on):
+                yield blocks(pd.concat([*held, frame[:last]]))
+                held = []
+            elif last:
+                yield blocks(frame[:last])
+            held.append(frame[last:])
         if held:
-            yield blocks(held[0])
+            yield blocks(pd.concat(held))
 
     return run
 
@@ -139,18 +141,14 @@ def mix(
 
     size: words of the text; null or empty text: 0, and then one rate's whole copies, which take
     nothing. A null source is a source of its own. The draws come from hashes of id, text
-    and source, so reruns agree; rows equal in these share a block, and which of them gets a copy has no meaning. An
-    empty table gives an empty table. Other columns, whatever their names, are ignored; the result
-    has doc_id, k1 and k2 (hashes of id, text and source), source, size, source_size, target, copies and taken.
+    and source, so reruns agree. Rows equal in these are one group, however many: it has the whole
+    part of the sum of their rates for certain and goes through the rounding as one row with the rest;
+    its copies are shared out evenly. An empty table gives an empty table. Other columns, whatever
+    their names, are ignored; the result has doc_id, k1 and k2 (hashes of id, text and source), source, size, source_size, target, copies and taken.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
-    size = F.regexp_count(t, F.lit(f"[^{WS}]+")).cast("long")
-    k1, k2 = row_key(doc_id, text, source)
-    rows = settled(
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), k1.alias("k1"), k2.alias("k2"))
-    )
-    per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    aims = settled(targets(per_source, **law))
+    rows = groups_of(docs, doc_id, text, source)
+    per_source = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count("*").alias("n_docs"))
+    aims, _ = stage(targets(per_source, **law), "targets")
     named = aims.withColumnRenamed("source", "source2")
     all_rows = rows.join(F.broadcast(named) if aims.count() <= 10_000 else named, F.col("source").eqNullSafe(F.col("source2"))).drop("source2")
     key = F.xxhash64(F.lit(seed), "k1", "k2")
@@ -158,8 +156,8 @@ def mix(
     all_rows = all_rows.withColumns(
         {
             "key": key,
-            "whole": F.floor("rate").cast("int"),
-            "p": F.col("rate") - F.floor("rate"),
+            "whole": F.floor(F.col("rate") * F.col("n")).cast("long"),
+            "p": F.col("rate") * F.col("n") - F.floor(F.col("rate") * F.col("n")),
             "block": F.pmod(F.xxhash64("key"), blocks),
         }
     )
@@ -170,11 +168,11 @@ def mix(
         return dealt.mapInPandas(_rounded(seed, k), ROWS)
 
     # the id goes through pandas as a string, as a null would make the numbers floats
-    cols = ["src", "block", "key", "size", "p", F.col("doc_id").cast("string"), "k1", "k2", "whole", "source", "source_size", "target"]
+    cols = ["src", "block", "key", "size", "p", F.col("doc_id").cast("string"), "k1", "k2", "n", "whole", "source", "source_size", "target"]
     todo = all_rows.filter((F.col("p") > 0) & (F.col("size") > 0)).select(*cols)
     done = [all_rows.filter(~((F.col("p") > 0) & (F.col("size") > 0))).withColumn("p", F.lit(0.0)).select(*cols)]
     for k in range(1 + max(0, math.ceil(math.log(max(most_blocks, 1), fan_in) - 1e-9))):
-        todo = settled(level(todo.withColumn("block", F.floor(F.col("block") / (fan_in if k else 1))), k))
+        todo, _ = stage(level(todo.withColumn("block", F.floor(F.col("block") / (fan_in if k else 1))), k), "rounded")
         done.append(todo.filter((F.col("p") == 0) | (F.col("p") == 1)))
         todo = todo.filter((F.col("p") > 0) & (F.col("p") < 1))
     unit = F.xxhash64(F.lit(seed + 1), "key") / F.lit(2.0**64) + 0.5
@@ -182,8 +180,15 @@ def mix(
     every = done[0]
     for d in done[1:]:
         every = every.unionByName(d)
-    copies = (F.col("whole") + F.col("p")).cast("int")
-    return every.select(
+    # a group's rows anew, in pieces, so that no array holds a large one
+    piece = 10_000
+    each = (
+        every.withColumn("total", F.col("whole") + F.col("p").cast("long"))
+        .withColumn("first", F.explode(F.expr(f"sequence(0L, n - 1, {piece}L)")))
+        .withColumn("at", F.explode(F.expr(f"sequence(first, least(first + {piece}, n) - 1)")))
+    )
+    copies = F.expr("total div n + if(at < total % n, 1, 0)").cast("int")
+    return each.select(
         F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"),
         "k1",
         "k2",
@@ -196,6 +201,14 @@ def mix(
     )
 
 
+def groups_of(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    """(doc_id, source, size, k1, k2, n): the groups of rows equal in id, text and source, staged."""
+    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(f"[^{WS}]+")).cast("long")
+    k1, k2 = row_key(doc_id, text, source)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), k1.alias("k1"), k2.alias("k2"))
+    return stage(rows.groupBy("doc_id", "source", "size", "k1", "k2").agg(F.count("*").alias("n")), "groups")[0]
+
+
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of docs as often as mix() takes them; documents without words are left out.
 
@@ -205,15 +218,13 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     copies = copies.groupBy(F.col("k1").alias("_quarry_1"), F.col("k2").alias("_quarry_2")).agg(
         F.sum("copies").alias("_quarry_copies"), F.count("*").alias("_quarry_rows")
     )
+    copies, _ = stage(copies.filter("_quarry_copies > 0"), "copies")
     k1, k2 = row_key(doc_id, text, source)
     keyed = docs.withColumns({"_quarry_1": k1, "_quarry_2": k2})
+    single = keyed.join(copies.filter("_quarry_rows = 1"), ["_quarry_1", "_quarry_2"]).withColumn("_quarry_n", F.col("_quarry_copies"))
+    # only rows that have an equal are numbered
     nth = F.row_number().over(Window.partitionBy("_quarry_1", "_quarry_2").orderBy(F.lit(0)))
-    each = F.floor(F.col("_quarry_copies") / F.col("_quarry_rows")) + F.when(
-        F.col("_quarry_nth") <= F.col("_quarry_copies") % F.col("_quarry_rows"), 1
-    ).otherwise(0)
-    return (
-        keyed.withColumn("_quarry_nth", nth)
-        .join(copies.filter("_quarry_copies > 0"), ["_quarry_1", "_quarry_2"])
-        .withColumn("_quarry_n", F.explode(F.array_repeat(F.lit(0), each.cast("int"))))
-        .select(*docs.columns)
-    )
+    share = F.expr("_quarry_copies div _quarry_rows + if(_quarry_nth <= _quarry_copies % _quarry_rows, 1, 0)")
+    several = keyed.join(copies.filter("_quarry_rows > 1"), ["_quarry_1", "_quarry_2"]).withColumn("_quarry_nth", nth).withColumn("_quarry_n", share)
+    every = single.select(*docs.columns, "_quarry_n").unionByName(several.select(*docs.columns, "_quarry_n"))
+    return every.withColumn("_quarry_n", F.explode(F.array_repeat(F.lit(0), F.col("_quarry_n").cast("int")))).select(*docs.columns)
