@@ -50,41 +50,42 @@ class Encoder(dict):
     By any other tokenizer whole texts are encoded.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 500_000):
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.parted = parts_words(self.tokenizer)
-        self.parts: dict[str, bytes] = {}
+        self.bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def _encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        return b"".join([self.bytes[i] for i in ids])
 
-    def _part(self, part: str, letters: bool) -> bytes:
-        """Of folded letters, which the library's model takes as they are, byte for character, or of signs."""
-        ids = self.parts.get(part)
-        if ids is None:
-            if letters:
-                found = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(_BYTES))
-                ids = b"".join([t.id.to_bytes(4, "little") for t in found])
-            else:
-                ids = self._encode(part)
-            if len(self.parts) < self.limit and len(part) <= 64:
-                self.parts[part] = ids
+    def _kept(self, piece: str, ids: bytes) -> bytes:
+        if len(self) < self.limit and len(piece) <= 64:
+            self[piece] = ids
         return ids
 
+    def _letters(self, letters: str) -> bytes:
+        """Folded letters, which the library's model takes as they are, byte for character."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_BYTES)
+        return b"".join([self.bytes[t.id] for t in self.tokenizer.model.tokenize(letters)])
+
     def __missing__(self, piece: str) -> bytes:
         low = piece.lower()
         letters = low.rstrip(",.;:!?")
         # the library folds each character by itself, str.lower() looks around a capital sigma
-        plain = letters.isalpha() and (piece.isascii() or "\u03a3" not in piece and unicodedata.is_normalized("NFC", low))
-        if plain:
-            ids = self._part(letters, True) + (self._part(low[len(letters) :], False) if len(letters) < len(low) else b"")
-        else:
-            ids = self._encode(piece)
-        if len(self) < self.limit and len(piece) <= 64:
-            self[piece] = ids
-        return ids
+        if not (letters.isalpha() and (piece.isascii() or "\u03a3" not in piece and unicodedata.is_normalized("NFC", low))):
+            return self._kept(piece, self._encode(piece))
+        ids = self.get(letters)
+        if ids is None:
+            ids = self._kept(letters, self._letters(letters))
+        if piece == letters:
+            return ids
+        if len(letters) < len(low):
+            signs = low[len(letters) :]
+            ids += self.get(signs) or self._kept(signs, self._encode(signs))
+        return self._kept(piece, ids)
 
     def ids(self, text: str | None, end: int | None = None) -> bytes:
         """Of null as of the empty text; end: the id to append."""
