@@ -221,7 +221,7 @@ def near_duplicates(
     bands: int = 26,
     rows: int = 5,
     chunk_rows: int = 512,
-    signed_rows: int = 8192,
+    signed_rows: int = 2048,
 ) -> DataFrame:
     """One row for each row of docs: doc_id, class_id, kept, t1 and t2 (hashes of the text).
 
@@ -238,7 +238,7 @@ def near_duplicates(
 
     First the nodes of each bucket are compared with its least node, by their whole texts. Where a
     bucket then still holds more than one component, the signatures of its nodes outside the largest
-    of them, signed_rows at a time, are compared with those of all its nodes, and the nodes that have
+    of them are compared with those of all its nodes, signed_rows by signed_rows, and the nodes that have
     a likely partner in another component by their whole texts, chunk_rows at a time. A pair that
     shares several bands is compared in the first of them. So no candidate pair between components
     is left out; the texts of nodes that share no band with another are read only to sign them, and
@@ -317,12 +317,16 @@ def near_duplicates(
     mixed = sizes.groupBy("h").agg(
         F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("members"), F.count("*").alias("roots")
     )
-    chunks = F.ceil((F.col("members") - F.col("most")) / signed_rows).alias("chunks")
-    rest = named.join(mixed.filter("roots > 1").select("h", "main", chunks), "h").join(nodes.select("node", "sig", "bands"), "node")
+    chunks, pieces = (F.ceil(n / signed_rows) for n in (F.col("members") - F.col("most"), F.col("members")))
+    rest = named.join(mixed.filter("roots > 1").select("h", "main", chunks.alias("chunks"), pieces.alias("pieces")), "h")
+    rest = rest.join(nodes.select("node", "sig", "bands"), "node")
     rest, rest_at = stage(rest, "mixed")
     row = ["node", "root", "sig", "bands"]
-    homes = rest.filter("root <> main").select("h", F.expr("pmod(xxhash64(node), chunks)").alias("chunk"), F.lit(False).alias("prober"), *row)
-    probers = rest.select("h", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"), F.lit(True).alias("prober"), *row)
+    # each chunk of homes meets each piece of probers in a task of its own
+    of_home = "transform(sequence(0L, pieces - 1), p -> pmod(xxhash64(node), chunks) * pieces + p)"
+    of_prober = "transform(sequence(0L, chunks - 1), c -> c * pieces + pmod(xxhash64(node), pieces))"
+    homes = rest.filter("root <> main").select("h", F.explode(F.expr(of_home)).alias("chunk"), F.lit(False).alias("prober"), *row)
+    probers = rest.select("h", F.explode(F.expr(of_prober)).alias("chunk"), F.lit(True).alias("prober"), *row)
     dealt = homes.unionByName(probers).repartition(partitions(spark), "h", "chunk").sortWithinPartitions("h", "chunk", "prober", "node")
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,7 +362,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """The rows of docs that near_duplicates() keeps; of rows equal in id and text any one; names that begin with _quarry are reserved."""
     key = ["_quarry_id", "_quarry_1", "_quarry_2"]
     marked = near_duplicates(docs, doc_id, text, **options).select(F.col("doc_id").alias(key[0]), F.col("t1").alias(key[1]), F.col("t2").alias(key[2]), "kept")
+    # staged, so that the rows are aggregated before they meet by key: one text may be that of very many
+    marked, rows_at = stage(marked, "rows")
     marked, _ = stage(marked.groupBy(*key).agg(F.count_if("kept").alias("_quarry_kept"), F.count("*").alias("_quarry_n")), "marked")
+    discard(docs.sparkSession, rows_at)
     t1, t2 = fingerprint(F.col(text))
     same = F.col(doc_id).eqNullSafe(F.col(key[0])) & (t1 == F.col(key[1])) & (t2 == F.col(key[2]))
     every = docs.join(marked.filter("_quarry_kept = _quarry_n"), same)
