@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import WS, WS_CHARS, ascii_lower, fingerprint, settled, words
+from quarry.llm.shared import WS, WS_CHARS, ascii_lower, fingerprint, stage, words
 
 #: Words of a window whose repetition counts.
 WINDOW = 8
@@ -100,10 +100,9 @@ def quality_verdicts(
     )
     t1, t2 = fingerprint(F.col("text"))
     # one pass over the texts; what follows is narrow
-    rows = settled(
-        base_rules(src.withColumns({"lines": lines, "t1": t1, "t2": t2}))
-        .drop("text")
-        .withColumn("rid", F.monotonically_increasing_id())
+    rows, _ = stage(
+        base_rules(src.withColumns({"lines": lines, "t1": t1, "t2": t2})).drop("text").withColumn("rid", F.monotonically_increasing_id()),
+        "quality",
     )
     every = rows.select("rid", "host", "t1", "t2", F.explode("lines").alias("l")).select("*", "l.*").drop("l")
     document = ["t1", "t2"] if count == "texts" else ["rid"]

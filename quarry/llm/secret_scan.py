@@ -213,6 +213,11 @@ def scan_secrets(
     secret, is_secret whether it is at least `least`. The result has doc_id, nth (from 0), start and
     length in characters, secret_sha256 (never the candidate itself), score and is_secret.
 
+    Never a candidate: fewer than 4 characters, and of fewer than 16 what stands neither after a secret
+    word and a sign, nor after "Bearer", nor in a URL's user part. The labelled findings that the
+    model is trained on by default are made up (see labelled_findings()); where findings of one's own
+    are at hand, train() takes them.
+
     Null and empty texts have no candidates. Null doc_ids and repeated rows are scanned like others.
     An empty table gives an empty table. Other columns, whatever their names, are ignored. The model
     defaults to one trained on labelled_findings().

@@ -67,6 +67,9 @@ def shard_rows(
     leading bits make ranges of about partition_rows, so no task holds a whole shard: a row's slot is
     the number of rows in lower ranges plus its place in its own.
 
+    The hash takes in a row's number in the input as Spark splits it, so another split deals another
+    shuffle, as uniform as the first; rows read once more in the same split fall as before.
+
     All columns stay, and rows with nulls, empty tables and repeated rows are dealt like any others.
     Columns named shard or slot are replaced; names that begin with _quarry are reserved.
     """

@@ -6,16 +6,18 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quarry.llm.components import components
-from quarry.llm.lattice import NEIGHBOURS, near_vectors, nearest_e8
-from quarry.llm.line_dedup import dedup_lines
+from quarry.llm.lattice import MEET, NEIGHBOURS, Codes, Tables, near_vectors, nearest_e8, shape_for
+from quarry.llm.line_dedup import LineRuns, _in_order, dedup_lines
 from quarry.llm.near_dedup import drop_near_duplicates, near_duplicates, prob_minhash
 from quarry.llm.quality import quality_filter, quality_verdicts
-from quarry.llm.secret_scan import assembled, labelled_findings, scan_secrets, train
+from quarry.llm.secret_scan import CANDIDATE, assembled, labelled_findings, scan_secrets, train
 from tests.llm.cases import empty, odd
+from tests.llm.test_map_operators import brute_targets, whole
 
 SF = "/root/testdata/sf0.001"
 WS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -93,6 +95,53 @@ def test_line_dedup_over_batches(spark):
     assert have == Counter(brute_lines(rows))
 
 
+def test_line_runs_go_on_from_the_manifest(spark, tmp_path):
+    """Runs that another driver wrote: batches in descending order of doc_id, some before and some after the change."""
+    rng = np.random.default_rng(13)
+    rows = [(d, int(k)) for d in range(200) for k in set(rng.integers(0, 150, 5).tolist())]
+    lines = spark.createDataFrame(rows, "doc_id long, k long").select("doc_id", F.xxhash64("k").alias("h1"), F.xxhash64("k", "k").alias("h2"))
+    path = f"file://{tmp_path}/runs"
+    runs = LineRuns(spark, path, 3, 2)
+    for top in range(200, 0, -25):
+        runs.add(lines.filter((F.col("doc_id") < top) & (F.col("doc_id") >= top - 25)))
+        for name in runs.names():
+            spark.sql(f"drop table {name}")
+        runs = LineRuns.load(spark, path)
+    assert 1 <= len(runs.names()) <= 4
+    want = {}
+    for d, k in rows:
+        n, last = want.get(k, (0, 0))
+        want[k] = n + 1, max(last, d)
+    names = {r.h1: r.k for r in spark.range(150).select(F.col("id").alias("k"), F.xxhash64("id").alias("h1")).collect()}
+    got, _ = runs.frequent("found")
+    assert {names[r.h1]: r.keeper for r in got.collect()} == {k: last for k, (n, last) in want.items() if n >= 3}
+    runs.drop()
+    assert not runs.names() or not spark.catalog.tableExists(runs.names()[0])
+
+
+def test_runs_are_joined_without_a_shuffle(spark, tmp_path):
+    lines = spark.range(3000).select("id", F.xxhash64("id").alias("h1"), F.xxhash64("id", "id").alias("h2")).withColumnRenamed("id", "doc_id")
+    runs = LineRuns(spark, f"file://{tmp_path}/runs", 1, 9)
+    runs.add(lines)
+    runs.add(lines.filter("doc_id < 10"))
+    with _in_order(spark):
+        a, b = runs.runs()
+        plan = a.hint("merge").join(b, ["h1", "h2"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+    assert runs.runs()[0].count() == 3000 and runs.runs()[1].count() == 0
+    runs.drop()
+
+
+def test_lines_counted_by_documents_or_texts(spark):
+    body = " ".join(f"w{k}" for k in range(40))
+    rows = [(i, f"the same first line of all\n{body}", "a") for i in range(30)] + [(90, "another text " * 15, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    removed = lambda how: {r.n_removed_words for r in quality_verdicts(df, count=how).filter("doc_id < 30").collect()}
+    assert removed("texts") == {0} and removed("documents") == {46}
+    with pytest.raises(ValueError, match="count"):
+        quality_verdicts(df, count="lines")
+
+
 def shingles(text):
     w = (text or "").lower().split()
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
@@ -244,6 +293,66 @@ def test_secret_recall_through_the_candidates(spark):
     assert all(found[-6:]) and sum(found) >= 0.97 * len(found)
 
 
+@pytest.fixture(scope="module")
+def forest(spark):
+    return train(labelled_findings(spark))
+
+
+def test_secret_scan_of_odd_rows(spark, forest):
+    """Rows with nulls, ties, repeats and clashing names; candidates and where they start, against the same pattern in another engine."""
+    key = "Zx81kP0aQm55TrLw92Yb"
+    texts = [None, "", "no key here", f'token = "{key}"', f'token = "{key}"', f'{key} {key}\nsecret: {key}', "é" * 300 + f" api_key={key} 日本 " + "k" * 5000, f"{'word ' * 20_000}password: {key}"]
+    rows = [(i if i != 3 else None, t, 1, "z", 0.5) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows + rows[4:5], "doc_id long, text string, nth int, rid string, probability double")
+    got = scan_secrets(df, model=forest).collect()
+    pattern = re.compile("(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
+    want = Counter((r[0], m.start(), len(m[0]), hashlib.sha256(m[0].encode()).hexdigest()) for r in rows + rows[4:5] for m in pattern.finditer(r[1] or ""))
+    assert Counter((r.doc_id, r.start, r.length, r.secret_sha256) for r in got) == want
+    for i in (5, 6, 7, None):
+        assert [r.nth for r in sorted(got, key=lambda r: r.start) if r.doc_id == i] == list(range(sum(r.doc_id == i for r in got)))
+    assert all(r.is_secret for r in got if r.secret_sha256 == hashlib.sha256(key.encode()).hexdigest())
+    assert scan_secrets(df.limit(0), model=forest).count() == 0
+
+
+def test_secret_candidates_by_another_engine(spark, forest):
+    """The whole pattern, looked for by the regex library, gives the same candidates at the same places."""
+    made = [r.before + r.candidate + r.after for r in labelled_findings(spark, rows=600, seed=5).collect()]
+    made += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + ["pwd=ab,cd;ef=1", "https://u:p4ss@h http://only@h x", "secret: 'a b' token = \"\" Bearer  abcd."]
+    got = scan_secrets(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"), model=forest).collect()
+    pattern = regex.compile(CANDIDATE, regex.ASCII)
+    want = {(i, m.start(), hashlib.sha256(m[0].encode()).hexdigest()) for i, t in enumerate(made) for m in pattern.finditer(t)}
+    assert {(r.doc_id, r.start, r.secret_sha256) for r in got} == want and len(want) > 600
+
+
+def test_secrets_of_the_documents(spark, forest):
+    """The tables plant secrets after `token = "`; what else the pattern matches there is numbers and names of other kinds."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = scan_secrets(docs, model=forest).join(docs.select("doc_id", "text"), "doc_id").collect()
+    planted = [r for r in found if r.text[: r.start].endswith('token = "')]
+    others = [r for r in found if not r.text[: r.start].endswith('token = "')]
+    assert len(planted) >= 10 and sum(r.is_secret for r in planted) >= 0.95 * len(planted)
+    assert sum(r.is_secret for r in others) <= 0.05 * max(20, len(others))
+
+
+def test_look_alikes_are_not_secrets(spark, forest):
+    """Findings of forms that the labelled table does not have, written by hand."""
+    harmless = [
+        "see https://example.org/articles/2024/05/17/how-to-bake-bread-at-home for more",
+        "commit 4f2a1c9e8b7d6a5f4e3c2b1a0d9e8f7a6b5c4d3e fixed it",
+        "sha256:9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08 of the file",
+        "isbn 9783161484100123 and order 20240517123456789",
+        "uuid 123e4567-e89b-12d3-a456-426614174000 was seen",
+        'password = "your_password_here_123"',
+        "api_key: xxxxxxxxxxxxxxxxxxxx1",
+        "the InternationalizationConfigurationManager class of module",
+        "/usr/local/lib/python3/site-packages/setuptools/command/install",
+        "pneumonoultramicroscopicsilicovolcanoconiosis is a long word",
+    ]
+    df = spark.createDataFrame(list(enumerate(harmless)), "doc_id long, text string")
+    wrong = {r.doc_id for r in scan_secrets(df, model=forest).filter("is_secret").collect()}
+    assert len(wrong) <= 1, [harmless[i] for i in wrong]
+
+
 def test_nearest_lattice_points():
     rng = np.random.default_rng(6)
     y = rng.normal(size=(300, 8)) * 2
@@ -295,20 +404,59 @@ def test_near_vectors_of_mixed_lengths(spark):
     assert sum(found[i] == i - i % 2 for i in found) >= 0.97 * len(found) and all(found[i] == 80 + i % 4 // 2 * 2 for i in range(80, 84))
 
 
-def test_recall_near_the_limit(spark):
-    """Pairs whose cosine is just above the limit are the hardest to find."""
-    rng = np.random.default_rng(8)
-    x = rng.normal(size=(1500, 64))
+def pairs_at(cosine, n, dim, seed=8):
+    """Two arrays of unit vectors, each row of one at the cosine to its row of the other."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     z = rng.normal(size=x.shape)
     z -= (z * x).sum(1, keepdims=True) * x
     z /= np.linalg.norm(z, axis=1, keepdims=True)
-    y = 0.952 * x + np.sqrt(1 - 0.952**2) * z
+    return x, cosine * x + np.sqrt(1 - cosine**2) * z
+
+
+def test_recall_near_the_limit(spark):
+    """Pairs whose cosine is just above the limit are the hardest to find."""
+    x, y = pairs_at(0.952, 1500, 64)
     data = [(i, [float(a) for a in v]) for i, v in enumerate(np.concatenate([x, y]))]
     got = near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<float>")).agg(F.sum("n_links")).first()[0]
     assert got >= 2 * 1500 * 0.97
 
 
+@pytest.mark.parametrize("rows", [10_000, 10**6, 10**8, 10**10])
+@pytest.mark.parametrize("dim", [16, 64])
+def test_recall_at_every_size(rows, dim):
+    """The tables that shape_for() gives for so many rows, with 1 to 4 blocks, find the pairs at the limit itself."""
+    x, y = pairs_at(0.9501, 600, dim)
+    shape = shape_for(rows)
+    assert shape[1] == {10_000: 1, 10**6: 2, 10**8: 3, 10**10: 4}[rows] and shape[1] in MEET
+    a, b = (Tables(dim, *shape).cells(v) for v in (x, y))
+    meet = (a[:, :, :1] == b).any(axis=2) | (b[:, :, :1] == a).any(axis=2)
+    assert meet.any(axis=1).mean() >= 0.98
+    codes = Codes(dim, 0.95)
+    apart = np.unpackbits((codes.of(x) ^ codes.of(y)).view(np.uint8), axis=1).sum(axis=1)
+    assert (apart <= codes.most).all() and apart.max() > 15
+
+
+def test_vectors_of_doubles(spark):
+    """Double components are not cut to floats: huge ones stay finite, and a difference beyond a float's precision counts."""
+    tiny = [1.0] + [1e-9 * k for k in range(7)]
+    rows = [[1e39, 2e39] * 4, [1e39, 2e39] * 4, [1e300, 2e300] * 4, [1e-300, 2e-300] * 4, tiny, [1.0] + [0.0] * 7, [0.0] * 8, [float("inf")] + [1.0] * 7]
+    rows = [(i if i else None, v, "x", 1, 2) for i, v in enumerate(rows)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, v string, rid int, node int")
+    got = {r.vec_id: tuple(r)[1:] for r in near_vectors(df).collect()}
+    assert got == {None: (3, 1, None), 1: (3, 1, True), 2: (3, 1, False), 3: (3, 1, False), 4: (1, 4, True), 5: (1, 4, False), 6: (0, 6, True), 7: (0, 7, True)}
+
+
+def test_vectors_of_one_large_cell(spark):
+    """Many different vectors close together: cells with more homes than a chunk, and links counted once each."""
+    rng = np.random.default_rng(12)
+    data = [[1.0 + float(a) for a in v] for v in rng.normal(size=(300, 8)) * 0.02]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    got = near_vectors(df, chunk_rows=40).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(299, 0)}
+
+
 def test_pipeline_on_odd_rows(spark):
     for docs in (odd(spark), empty(spark)):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
@@ -334,3 +482,19 @@ def test_pipeline_stage_by_stage(spark):
     assert {r.doc_id for r in single} == {c for _, c in brute_classes([(r.doc_id, r.text) for r in lined])}
     mixed = stages["mixing"](spark, spark.createDataFrame(single, docs.schema), SF).collect()
     assert set(mixed) <= set(single) and max(Counter(r.doc_id for r in mixed).values()) <= 2
+    words = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    sizes, taken, longest = Counter(), Counter(), Counter()
+    for r in single:
+        sizes[r.source] += words(r)
+        longest[r.source] = max(longest[r.source], words(r))
+    for r in mixed:
+        taken[r.source] += words(r)
+    assert all(abs(taken[s] - n) <= longest[s] for s, n in brute_targets(sizes).items())
+    packed = stages["packing"](spark, spark.createDataFrame(mixed, docs.schema), SF).collect()
+    want = Counter()
+    for r in mixed:
+        want[r.doc_id] += len(whole(r.text, 2))
+    tokens = lambda rows: Counter({i: sum(r.length for r in rows if r.doc_id == i) for i in {r.doc_id for r in rows}})
+    assert tokens(packed) == want and max(Counter({r.sequence_id: r.offset + r.length for r in packed}).values()) <= 4096
+    # the whole run gives what its stages give, however Spark parted them
+    assert tokens(corpus_pipeline.run(spark, SF).collect()) == want

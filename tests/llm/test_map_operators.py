@@ -114,6 +114,23 @@ def test_license_gate_loses_no_form():
             assert free and scanner.scan(words)[-1] == free, (r, text)
 
 
+def test_license_spans_like_brute_force():
+    """Of spans in the order of priority, length and rules, each is kept that no kept one covers."""
+    scanner, rng = Scanner(), np.random.default_rng(21)
+    some = [forms(re._parser.parse(r.pattern.pattern.removeprefix(" ").removesuffix("(?= )")))[:3] for r in scanner.rules]
+    for _ in range(150):
+        parts = [str(rng.choice(some[int(rng.integers(len(some)))])) for _ in range(int(rng.integers(1, 9)))]
+        words = f" {' '.join(parts)} "
+        keywords = {k for _, k in scanner.gate.iter(words)}
+        every = [(-r.priority, m.start() - m.end(), i, m.start(), m.end()) for i, r in enumerate(scanner.rules) for m in r.pattern.finditer(words)]
+        kept = []
+        for s in sorted(every):
+            if not any(k[3] <= s[3] and s[4] <= k[4] for k in kept):
+                kept.append(s)
+        got = scanner.detections(words, keywords)
+        assert [(a, b, r) for a, b, r in got] == sorted(((k[3], k[4], scanner.rules[k[2]]) for k in kept), key=lambda d: d[:2])
+
+
 def test_license_forms_beside_the_usual(spark):
     texts = {
         "SPDX-License-Identifier: MIT": "mit",
@@ -161,6 +178,21 @@ def test_mixing(docs):
     assert sum(count(t) * n for t, n in copies.items()) == sum(taken.values())
 
 
+def test_mixing_of_many_equal_rows(spark):
+    """A third of the rows are one document: they are one group, whose copies are shared out, and the words still come near the targets."""
+    rows = [(5, "w " * 9, "a")] * 12_000 + [(i, "w " * (1 + i % 40), "ab"[i % 2]) for i in range(1000, 25_000, 2)] + [(i, "x y z", "c") for i in range(31_000, 43_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix(df, block_rows=500, fan_in=4).groupBy("doc_id", "source", "copies", "target").agg({"taken": "sum", "*": "count"}).collect()
+    hot = {r.copies: r["count(1)"] for r in got if r.doc_id == 5}
+    assert sum(hot.values()) == 12_000 and set(hot) <= {0, 1, 2} and len(hot) <= 2
+    taken = Counter()
+    for r in got:
+        taken[r.source, r.target] += r["sum(taken)"]
+    assert all(abs(n - target) <= 40 for (_, target), n in taken.items())
+    copies = Counter(r.doc_id for r in mixed_documents(df, block_rows=500, fan_in=4).collect())
+    assert copies[5] == sum(c * n for c, n in hot.items()) and max(n for i, n in copies.items() if i != 5) <= 2
+
+
 def test_rounding_keeps_expectations(spark):
     df = spark.createDataFrame([(i, "w " * (1 + i % 7), "a" if i % 3 else "b") for i in range(60)], "doc_id long, text string, source string")
     rate, n = None, Counter()
@@ -247,3 +279,37 @@ def test_token_shards(docs, spark, tmp_path):
             single = [i for i in found if sum(r.doc_id == i for r in rows) == 1]
             assert all(x.tolist() == whole(texts[i], 1) for i, x in found.items() if x is not None and i in single)
             assert reader.get(10**15) is None and reader.get(-(10**15)) is None
+
+
+def test_files_of_bounded_size(spark, tmp_path):
+    """A range with very many rows of one doc_id, cut into files; the rows stay in order and can be looked up."""
+    rows = [(7 if i % 3 else i, f"row {i} of some words") for i in range(900)] + [(None, "x y")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = write_shards(df, f"file://{tmp_path}/out", PATH, range_bytes=4000, file_docs=40)
+    files = manifest.orderBy("shard", "file").collect()
+    assert max(m.docs for m in files) <= 40 and len({m.shard for m in files}) > 3 and sum(m.docs for m in files) == 905
+    got = read_shards(manifest).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    sevens = [crc(whole(t, 1)) for i, t in rows if i == 7]
+    assert [r.ids_crc32 for r in got if r.doc_id == 7] == sevens
+    small = write_shards(df, f"file://{tmp_path}/small", PATH, range_bytes=4000, file_bytes=100)
+    assert small.count() > 100 and read_shards(small).agg({"n_tokens": "sum"}).first()[0] == sum(r.n_tokens for r in got)
+
+
+def test_many_rows_of_one_id_are_packed_in_several_ranges(spark):
+    df = spark.createDataFrame([(3, f"words of row {i} " * 5) for i in range(400)], "doc_id long, text string")
+    got = pack(df, PATH, block_bytes=8000).collect()
+    assert sum(r.length for r in got) == sum(len(whole(r.text, 2)) for r in df.collect())
+    assert len({r.sequence_id >> 32 for r in got}) > 2
+
+
+def test_another_tokenizer_encodes_whole_texts():
+    from quarry.llm.tokens import Encoder
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other, word = Encoder(path), Encoder(PATH)
+    assert word.parted and not other.parted
+    text = "Two  words, and\n\nmore: don't \u03a3 1234"
+    for tokens in (other, word):
+        ids = np.frombuffer(tokens.ids(text), dtype="<u4").tolist()
+        assert ids == tokens.tokenizer.encode(text, add_special_tokens=False).ids
