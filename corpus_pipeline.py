@@ -10,7 +10,7 @@ from quarry.llm.near_dedup import drop_near_duplicates
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_filter
 from quarry.llm.queries import documents, tokenizer_path
-from quarry.llm.shared import scratch
+from quarry.llm.shared import discard, scratch
 
 #: SQL can express neither the near-duplicate stage's components nor the draws of the mixing stage.
 ORACLE_SQL = None
@@ -48,10 +48,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table documents."""
-    docs = documents(spark, sf_dir)
+    """All stages over the whole table documents; what a stage wrote goes when the next one has written its own."""
+    docs, before = documents(spark, sf_dir), None
     where = scratch(spark, "pipeline")
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{where}/{name}")
-        docs = spark.read.parquet(f"{where}/{name}")
+        path = f"{where}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
