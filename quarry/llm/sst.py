@@ -178,7 +178,7 @@ class Reader:
 
 def write_shards(
     docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end: int = 1,
-    range_bytes: int = 32 << 20, file_bytes: int = 256 << 20, file_docs: int = 1 << 20,
+    range_bytes: int = 16 << 20, file_bytes: int = 256 << 20, file_docs: int = 1 << 20,
 ) -> DataFrame:
     """Encodes all texts, appends the id `end` to each and writes them as shards under path in ascending doc_id order.
 
