@@ -138,13 +138,6 @@ def gloss_format(c: Column) -> Column:
     )
 
 
-def roman_fixups(c: Column) -> Column:
-    """Letters that transliteration leaves, as the usual ones."""
-    for old, new in (("ï", "i"), ("ü", "u"), ("ĕ", "e"), ("ŏ", "o"), ("l̤", "ḷ")):
-        c = F.replace(c, F.lit(old), F.lit(new))
-    return c
-
-
 def filled(template: str, fields: dict[str, Column]) -> Column:
     """The template with each {name} as that field's text; null is empty, and braces in a field mean nothing."""
     parts = re.split(r"\{(\w+)\}", template)

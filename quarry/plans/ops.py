@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import parsing
 from quarry.functions import text as T
+from quarry.functions.roman import to_roman
 from quarry.operators import context as C
 from quarry.operators import merge as M
 from quarry.operators import paragraphs as P
@@ -430,9 +431,15 @@ def gloss_format(t):
     return t.raw("part").select("p_partkey", (k % 4).cast("long").alias("kind"), T.gloss_format(c).alias("gloss"))
 
 
-@query("select p_partkey, replace(replace(p_name || 'ïŏ', 'ï', 'i'), 'ŏ', 'o') as roman from part")
+_MYANMAR = {"ဓမ္မ": "dhamma", "သင်္ဃ": "saṅgha", "ဥပေက္ခာ": "upekkhā", "လောက": "loka", "သံယောဇန၊ အနိစ္စ": "saṃyojana, anicca"}
+
+
+@query(f"select p_partkey, case p_partkey % 6 {' '.join(f"when {i} then '{v} ' || p_size" for i, v in enumerate(_MYANMAR.values()))} else p_name || 'ïŏ' end as roman from part")
 def translit(t):
-    return t.raw("part").select("p_partkey", T.roman_fixups(F.concat("p_name", F.lit("ïŏ"))).alias("roman"))
+    text = F.concat("p_name", F.lit("ïŏ"))
+    for i, word in enumerate(_MYANMAR):
+        text = F.when(F.col("p_partkey") % 6 == i, F.concat(F.lit(word + " "), "p_size")).otherwise(text)
+    return t.raw("part").select("p_partkey", to_roman(text).alias("roman"))
 
 
 @query(f"""with a as (select item_id, 'p' || item_id as pali, 'e}}' || item_id as english from benchmark where item_id % 5 <> 4 union all select item_id, 'q' || item_id, 'f' || item_id from benchmark where item_id % 5 not in (2, 4)),

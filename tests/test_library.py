@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import parsing
 from quarry.functions import text as T
+from quarry.functions.roman import from_myanmar, to_roman
 from quarry.operators import context as C
 from quarry.operators import hierarchy as H
 from quarry.operators import merge as M
@@ -20,7 +21,7 @@ from quarry.plans import registry
 from quarry.plans.mapping import map_headings
 from quarry.plans.queries import oracle_sql, queries
 from quarry.sources import catalog
-from quarry.sources.model import answered
+from quarry.sources.model import answered, embedded
 from quarry.streaming import logs as L
 
 SF = "/root/testdata/sf0.001"
@@ -323,6 +324,29 @@ def test_model_answers(spark):
     assert answered(df.limit(0), "prompt", model).count() == 0
 
 
+def test_embeddings(spark):
+    def model():
+        def embed(texts):
+            assert len(texts) <= 3
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return embed
+
+    df = spark.createDataFrame([(i, "x" * i if i % 4 else None) for i in range(20)], "i long, t string").coalesce(1)
+    got = {r.i: r.embedding for r in embedded(df, "t", model, size=3, dim=2).collect()}
+    assert got == {i: [float(i), 1.0] if i % 4 else None for i in range(20)}
+    with pytest.raises(Exception, match="no vectors of 5"):
+        embedded(df, "t", model, size=3, dim=5).collect()
+
+
+def test_roman_letters(spark):
+    words = {"ဗုဒ္ဓ": "buddha", "ဘိက္ခု": "bhikkhu", "သင်္ဃ": "saṅgha", "သံဃ": "saṃgha", "ပညာ": "paññā", "ဒေါသ": "dosa", "ဧကော": "eko", "တသ္မိံ ၁၂။": "tasmiṃ 12."}
+    assert {w: from_myanmar(w) for w in words} == words
+    roman = lambda x, **how: one(spark, lambda c: to_roman(c, **how), x)
+    assert [roman(x) for x in ("dhammaïŏ", "Ābc ဗ", "ဗုဒ္ဓ", "", None, "ภาษา")] == ["dhammaïŏ", "Ābc ဗ", "buddha", "", "", "ภาษา"]
+    assert roman("ဗ", convert=lambda t: "bïŏl̤") == "bioḷ" and roman("ဗ", convert=lambda t: 1 / 0) == "ဗ"
+
+
 def test_mapping_resumes(spark, tmp_path):
     def model():
         def ask(prompt):
