@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from quarry.functions import parsing
 from quarry.functions import text as T
 from quarry.functions.roman import to_roman
+from quarry.functions.staging import scratch
 from quarry.operators import context as C
 from quarry.operators import merge as M
 from quarry.operators import paragraphs as P
 from quarry.operators import tasks as K
+from quarry.plans.mapping import map_headings
 from quarry.sources.catalog import DriverTables
 
 Q: dict = {}
@@ -431,6 +433,26 @@ def gloss_format(t):
     return t.raw("part").select("p_partkey", (k % 4).cast("long").alias("kind"), T.gloss_format(c).alias("gloss"))
 
 
+def _guesses():
+    """A made-up model: heading n has the reference r(n mod 100); it leaves out every seventh."""
+
+    def answer(prompt: str) -> str:
+        ids = [int(line.split()[0]) for line in prompt.split("Headings:\n")[1].split("\n\n")[0].split("\n")]
+        return "```json\n{" + ", ".join(f'"{i}": "r{i % 100}"' for i in ids if i % 7) + "}\n```"
+
+    return answer
+
+
+@query("""with h as (select cast(p_size % 30 as bigint) as book_id, p_partkey as para_id, p_size % 12 as level from part)
+    select book_id, para_id, case when level < 10 and para_id % 7 <> 0 and (book_id, para_id % 100) in (select (cast(s_nationkey as bigint), s_suppkey) from supplier) then 'r' || para_id % 100 end as sc_id from h""")
+def heading_mapping(t):
+    book = (F.col("p_size") % 30).cast("long").alias("book_id")
+    heads = t.raw("part").select(book, F.col("p_partkey").alias("para_id"), (F.col("p_size") % 12).alias("level"), F.col("p_name").alias("title"), F.lit(None).cast("string").alias("sc_id"))
+    refs = t.raw("supplier").select(F.col("s_nationkey").cast("long").alias("book_id"), F.concat(F.lit("r"), "s_suppkey").alias("sc_id"), F.col("s_name").alias("sutta_name"))
+    mapped, _ = map_headings(heads, refs, _guesses, scratch(t.spark, "mapping"), heads.select("book_id").distinct())
+    return mapped.select("book_id", "para_id", "sc_id")
+
+
 _MYANMAR = {"ဓမ္မ": "dhamma", "သင်္ဃ": "saṅgha", "ဥပေက္ခာ": "upekkhā", "လောက": "loka", "သံယောဇန၊ အနိစ္စ": "saṃyojana, anicca"}
 
 
