@@ -15,20 +15,23 @@ from pyspark.sql import functions as F
 SECRET_WORDS = "token|secret|passw|pwd|api.?key|apikey|access.?key|auth|bearer|credential|private.?key|client.?id|signature"
 OTHER_WORDS = "commit|sha|hash|md5|checksum|digest|uuid|guid|revision|build|version|etag|isbn|order|invoice|serial|model|ref"
 FAKE_WORDS = "example|sample|dummy|test|fake|placeholder|changeme|your|xxxx|redacted|insert|demo|todo"
+#: What looks back needs a bound: how long a name may go on after its secret word, how long a URL's user name may be, and
+#: how far before a candidate a word is its neighbour.
+NAME, USER, NEAR = 100, 200, 24
 #: A value in quotes, and one without, which ends before the next name of a list and before closing punctuation.
 _QUOTED = "|".join(rf"(?<={q})[^\s{q}]{{4,}}(?<!\\)(?=\\?{q})" for q in "\"'`")
 _PLAIN = r"""(?=[^\s"'`]{4})(?![=>:])[^\s"'`<>,;&]+(?:[,;&](?![\w.-]{0,40}[=:]|\s|$)[^\s"'`<>,;&]+){0,32}(?<![.,;:)\]}])"""
 #: What stands before an assigned value: a secret word, the rest of its name and a sign. The first part, which is cheap, spares the second.
 _ASSIGNED = (
     r"""(?<=[=:>][ \t]{0,4}\\?["'`]?)"""
-    rf"""(?<=(?i:{SECRET_WORDS})[\w.-]{{0,24}}\\?["'`]?\]?[ \t]{{0,4}}(?::=|=>|={{1,3}}|:)[ \t]{{0,4}}\\?["'`]?)"""
+    rf"""(?<=(?i:{SECRET_WORDS})[\w.-]{{0,{NAME}}}\\?["'`]?\]?[ \t]{{0,4}}(?::=|=>|={{1,3}}|:)[ \t]{{0,4}}\\?["'`]?)"""
 )
 #: Values of at least 4 characters assigned to a secret word, after "Bearer" or in a URL's user part (the password, or a user
 #: alone), and runs of at least 16 characters of keys anywhere.
 CANDIDATE = "|".join(
     [
         rf"""(?:{_ASSIGNED}|(?<=[ \t]["'`]?)(?<=(?i:bearer)[ \t]{{1,4}}["'`]?))(?!\w{{1,20}}://)(?:{_QUOTED}|{_PLAIN})""",
-        r"""(?<=:)(?<=://[^\s/:@"'`]{0,64}:)[^\s/@"'`]{4,}(?=@)""",
+        rf"""(?<=:)(?<=://[^\s/:@"'`]{{0,{USER}}}:)[^\s/@"'`]{{4,}}(?=@)""",
         r"""(?<=://)[^\s/:@"'`]{4,}(?=@)""",
         r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}",
     ]
@@ -100,8 +103,8 @@ def features(c: Column, before: Column, after: Column) -> dict[str, Column]:
         "path_before": yes(before.rlike(r"(?:https?:|www\.|[a-z]/|\.\w{1,4}[/?]|[\\/#?&.:])\S*$")),
         "quoted": yes(before.rlike("[\"'`]$")),
         "assigned": yes(before.rlike("(?:=|:|=>|:=)\\s*[\"'`]?$")),
-        "secret_before": yes(before.rlike(f"(?i)(?:{SECRET_WORDS})[^\\n]{{0,24}}$")),
-        "other_before": yes(before.rlike(f"(?i)\\b(?:{OTHER_WORDS})[^\\n]{{0,24}}$")),
+        "secret_before": yes(before.rlike(f"(?i)(?:{SECRET_WORDS})[^\\n]{{0,{NEAR}}}$")),
+        "other_before": yes(before.rlike(f"(?i)\\b(?:{OTHER_WORDS})[^\\n]{{0,{NEAR}}}$")),
         "fake_near": yes(before.rlike(f"(?i){FAKE_WORDS}")) + yes(after.rlike(f"(?i){FAKE_WORDS}")),
         "fake_in": yes(low.rlike(FAKE_WORDS)),
         "punctuated": share("[^A-Za-z0-9+/_=-]"),
@@ -214,7 +217,8 @@ def scan_secrets(
     length in characters, secret_sha256 (never the candidate itself), score and is_secret.
 
     Never a candidate: fewer than 4 characters, and of fewer than 16 what stands neither after a secret
-    word and a sign, nor after "Bearer", nor in a URL's user part. The labelled findings that the
+    word, up to NAME characters more of its name and a sign, nor after "Bearer", nor in a URL's user part
+    (user names of up to USER characters). A value without quotes ends at its 33rd comma, semicolon or &. The labelled findings that the
     model is trained on by default are made up (see labelled_findings()); where findings of one's own
     are at hand, train() takes them.
 
