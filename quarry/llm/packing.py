@@ -11,7 +11,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quarry.llm.shared import in_order
 from quarry.llm.tokens import Encoder, encoder
