@@ -46,7 +46,8 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, path: str, min_docs: int, fan_in: int = 3, buckets: int | None = None):
         self.spark, self.path, self.min_docs, self.fan_in = spark, path, min_docs, fan_in
-        self.buckets = buckets or partitions(spark)
+        # Spark allows no more buckets by default
+        self.buckets = buckets or min(100_000, partitions(spark))
         self.levels: list[list[str]] = [[]]
         self.schema = ""
 
