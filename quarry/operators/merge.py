@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import blank, strip_ws
 
+#: For mapping_candidates(): rows of a book on either side of a tile and pairs that a task makes, both about; tasks at most.
+TILE, TASK_PAIRS, MOST_TASKS = 1024, 1 << 22, 1 << 15
+
 
 def insert_if_absent(table: DataFrame, rows: DataFrame, key: list[str], order: str) -> DataFrame:
     """The rows to insert: complete, the first of each key, and not yet in the table."""
@@ -42,8 +47,24 @@ def validate_mapping(rows: DataFrame, valid: DataFrame, key: str, value: str) ->
 
 
 def mapping_candidates(headings: DataFrame, references: DataFrame, key: str) -> DataFrame:
-    """Headings and references of one book; a book without either has none."""
-    return headings.join(references, key)
+    """Headings and references of one book; a book without either has none.
+
+    A hash of its columns (maps cannot be hashed) deals each row to one of its book's blocks, of about TILE rows, and each
+    block of headings meets each block of references in a tile of its own; equal rows share a block. The tiles go to as
+    many tasks as their pairs need, so what a task makes depends neither on how few or long the books are nor on the
+    files. The count of pairs is taken at the call.
+    """
+    counts = headings.groupBy(key).agg(F.count("*").alias("_h")).join(references.groupBy(key).agg(F.count("*").alias("_r")), key)
+    pairs = counts.agg(F.sum(F.col("_h").cast("double") * F.col("_r"))).first()[0] or 0
+    tasks = min(max(1, math.ceil(pairs / TASK_PAIRS)), MOST_TASKS)
+    blocks = counts.select(key, *(F.expr(f"({c} + {TILE - 1}) div {TILE}").alias(c) for c in ("_h", "_r")))
+
+    def tiles(df: DataFrame, own: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64(*df.columns), F.col(own)).alias(own)
+        copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
+        return df.join(blocks, key).select(*df.columns, block, copies).repartition(tasks, key, "_h", "_r")
+
+    return tiles(headings, "_h", "_r").join(tiles(references, "_r", "_h"), [key, "_h", "_r"]).drop("_h", "_r")
 
 
 def cascade_delete(tasks: DataFrame, logs: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 import decimal
 import random
 import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -265,6 +266,23 @@ def test_merges(spark):
     assert {r.k: r.v for r in M.last_write(writes, ["k"], "v", "n").collect()} == {"a": None, "b": "2"}
 
 
+def test_candidates_are_dealt_by_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(M, "TILE", 8, raising=False)
+    monkeypatch.setattr(M, "TASK_PAIRS", 500, raising=False)
+    heads = [("long", i) for i in range(120)] + [("b", 7)] * 3 + [("c", None), (None, 1), ("bare", 1)]
+    refs = [("long", str(i)) for i in range(150)] + [("b", "x")] * 2 + [("c", None), (None, "y"), ("none", "z")]
+    # both in one partition, as a table in one small file is
+    headings = spark.createDataFrame(heads, "book_id string, para_id int").coalesce(1)
+    references = spark.createDataFrame(refs, "book_id string, sc_id string").coalesce(1)
+    got = M.mapping_candidates(headings, references, "book_id")
+    assert got.columns == ["book_id", "para_id", "sc_id"]
+    rows = got.withColumn("task", F.spark_partition_id()).collect()
+    want = [(b, h, r) for b, h in heads for c, r in refs if b is not None and b == c]
+    assert sorted(map(repr, (tuple(r)[:3] for r in rows))) == sorted(map(repr, want))
+    assert max(Counter(r.task for r in rows).values()) < len(want) / 10
+    assert M.mapping_candidates(headings.limit(0), references, "book_id").count() == 0
+
+
 def test_queue(spark):
     schema = "id long, status string, priority int, created_at double, run_after double, started_at double, heartbeat_at double"
     rows = [(1, "pending", 5, 1.0, None, None, None), (2, "pending", 1, 3.0, 200.0, None, None), (3, "pending", 1, 2.0, 100.0, None, None)]
